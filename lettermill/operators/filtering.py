@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lettermill.functions.cleaning import clean_text
 from lettermill.functions.fixed_values import MIN_WORDS
 from lettermill.functions.text import word_count
+from lettermill.plans.parallelism import with_columns_once
 
 SALTS = 64
 TWO_STAGE_ROWS = 10_000
@@ -15,8 +16,9 @@ BOUNDARY_ROWS = 1_000_000
 
 
 def with_clean_text(emails: DataFrame, body: str = "body") -> DataFrame:
-    cleaned = emails.withColumn("clean", clean_text(F.col(body)))
-    return cleaned.withColumn("n_words", word_count(F.col("clean")))
+    """Adds ``clean`` and ``n_words``; both are computed once, whatever filters follow."""
+    cleaned = with_columns_once(emails, {"clean": clean_text(F.col(body))})
+    return with_columns_once(cleaned, {"n_words": word_count(F.col("clean"))})
 
 
 def status(body: Column, n_words: Column, error: Column | None = None) -> Column:

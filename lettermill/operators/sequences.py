@@ -20,7 +20,7 @@ VOCABULARY_SIZE = 32_000
 END_ID = 0  # also the padding
 UNKNOWN_ID = 1
 FIRST_ID = 2
-TOKEN = rf"<\|[a-z]+\|>|[{WORD}]+|[^{WORD}{WS}]"
+TOKEN = rf"(?U)<\|[a-z]+\|>|[{WORD}]+|[^{WORD}{WS}]"
 SALTS = 64
 
 

@@ -11,7 +11,7 @@ from lettermill.operators.filtering import with_status
 from lettermill.operators.language import LanguageModel, map_language
 from lettermill.operators.reports import pipeline_stats
 from lettermill.operators.splitting import train_val_split
-from lettermill.session import scratch_path
+from lettermill.session import scratch_path, staged
 from lettermill.sources.jsonl import write_examples
 from lettermill.sources.mailbox import stage_messages, with_message_index
 
@@ -39,9 +39,7 @@ def build_corpus(
     """
     messages = stage_messages(spark, mailboxes, scratch_path(spark, "messages"), limit)
     indexed = with_message_index(messages, limit)
-    judged_path = scratch_path(spark, "judged")
-    judge_messages(indexed, model).select(*JUDGED_COLUMNS).write.parquet(judged_path)
-    judged = spark.read.parquet(judged_path)
+    judged = staged(judge_messages(indexed, model).select(*JUDGED_COLUMNS), "judged")
     write_examples(
         build_examples(judged.filter(F.col("status") == "ok"), keep=("source",)), output, by="source"
     )

@@ -23,7 +23,7 @@ from lettermill.functions.html import html_to_text
 from lettermill.functions.text import ellipsize, word_count
 from lettermill.operators import bodies, chats, examples, filtering, language, reports, sequences, splitting, style
 from lettermill.plans.corpus import build_corpus
-from lettermill.session import scratch_path
+from lettermill.session import scratch_path, staged
 from lettermill.sources import jsonl, mailbox
 from lettermill.views import emails, mail_records, parts, table
 
@@ -111,7 +111,8 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "split")
-    rows = splitting.train_val_split(_examples(spark, sf_dir, "doc_id"), "doc_id")
+    corpus = staged(_examples(spark, sf_dir, "doc_id"), "examples")
+    rows = splitting.train_val_split(corpus, "doc_id")
     jsonl.write_examples(rows.drop("doc_id"), path, by="split")
     sides = [
         jsonl.read_split(spark, path, side).withColumn("split", F.lit(side))
@@ -265,17 +266,14 @@ def language_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.language_distribution(_accepted(spark, sf_dir))
 
 
-def _split_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splitting.train_val_split(_accepted(spark, sf_dir), "doc_id")
-
-
 def split_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accepted = filtering.accepted(emails(spark, sf_dir))
+    accepted = staged(filtering.accepted(emails(spark, sf_dir)).select("doc_id", "n_words"), "accepted")
     return reports.split_stats(splitting.train_val_split(accepted, "doc_id"))
 
 
 def split_language_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.language_distribution(_split_emails(spark, sf_dir), within=("split",))
+    accepted = staged(_accepted(spark, sf_dir).select("doc_id", "language"), "accepted")
+    return reports.language_distribution(splitting.train_val_split(accepted, "doc_id"), within=("split",))
 
 
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -39,3 +39,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="lettermill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/lettermill/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared scratch folder and read it back.
+
+    For results that several jobs read: computed once, and safe when executors go.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

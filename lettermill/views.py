@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lettermill.plans.parallelism import spread
 from lettermill.sources.mailbox import mailbox_record
 
 EMAILS = """
@@ -61,7 +62,7 @@ HTML_BODY = "<html><body><p>{}</p><p>see <a href=\"http://example.com\">this</a>
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from lettermill.session import local_session
 HEADLINE = [
     "usable_emails", "corpus_build", "mbox_scan", "jsonl_roundtrip", "write_by_split",
     "choose_body", "html_to_text", "clean_text", "reject_reasons", "head_per_source", "word_count",
-    "lang_profile", "detect_language", "build_examples", "pipeline_stats", "language_distribution",
+    "lang_profile", "detect_language", "build_examples", "processing_stats", "language_distribution",
     "split_stats", "split_language_stats", "formality_counts", "style_report", "style_report_by_source",
     "top_openings", "top_words", "seeded_shuffle", "train_val_split", "render_chat", "build_vocab",
     "encode_sequences", "encode_splits", "compare_responses", "style_delta",

@@ -9,9 +9,10 @@ from lettermill.functions.cleaning import clean_text
 from lettermill.functions.fixed_values import MIN_WORDS
 from lettermill.functions.text import word_count
 from lettermill.plans.parallelism import with_columns_once
+from lettermill.session import staged
 
 SALTS = 64
-TWO_STAGE_ROWS = 10_000
+TWO_STAGE_ROWS = 1_000  # up to here Spark limits ranks on the map side
 BOUNDARY_ROWS = 1_000_000
 
 
@@ -79,7 +80,7 @@ def _cut_by_counts(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
         running = Window.partitionBy(group).orderBy("_slot")
         counts = counts.withColumn("_upto", F.sum("_rows").over(running))
         last = F.max("_upto").over(Window.partitionBy(group))
-        cuts = (
+        found = (
             counts.withColumn("_need", F.least("_need", last))
             .filter((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_rows") < F.col("_need")))
             .select(
@@ -89,8 +90,8 @@ def _cut_by_counts(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
                 (F.col("_need") - F.col("_upto") + F.col("_rows")).alias("_need"),
                 "_rows",
             )
-            .checkpoint()
         )
+        cuts = staged(found, "cuts")
         hottest = cuts.agg(F.max("_rows")).first()[0] or 0
         cuts = cuts.drop("_rows")
         if hottest <= BOUNDARY_ROWS:

@@ -21,7 +21,7 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def pipeline_stats(judged: DataFrame) -> DataFrame:
+def processing_stats(judged: DataFrame) -> DataFrame:
     """Run counters from ``status`` and ``n_words``; words count accepted rows only."""
     ok = F.col("status") == "ok"
     return judged.agg(

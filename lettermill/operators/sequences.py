@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from lettermill.functions.fixed_values import MAX_LENGTH
 from lettermill.functions.text import WORD, WS
-from lettermill.operators.chats import DEFAULT_TEMPLATE, ChatTemplate
+from lettermill.operators.chats import DEFAULT_TEMPLATE, TURNS_PER_ROW, ChatTemplate
 
 VOCABULARY_SIZE = 32_000
 END_ID = 0  # also the padding
 UNKNOWN_ID = 1
 FIRST_ID = 2
 TOKEN = rf"(?U)<\|[a-z]+\|>|[{WORD}]+|[^{WORD}{WS}]"
-SALTS = 64
+SLICES = 256
 
 
 def tokens(text: Column) -> Column:
@@ -32,13 +32,13 @@ def tokens(text: Column) -> Column:
 def build_vocab(texts: DataFrame, text: str = "text", size: int = VOCABULARY_SIZE) -> DataFrame:
     """The ``size`` most frequent tokens with their ids; equal counts in token order.
 
-    The best of 64 slices first, so the last ranking sees 64 x ``size`` rows at most.
+    The best of 256 slices first, so the last ranking sees 256 x ``size`` rows at most.
     """
     counts = (
         texts.select(F.explode(tokens(F.col(text))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_slice", F.pmod(F.xxhash64("token"), F.lit(SALTS)))
+        .withColumn("_slice", F.pmod(F.xxhash64("token"), F.lit(SLICES)))
     )
     best = [F.desc("n"), F.col("token")]
     in_slice = F.row_number().over(Window.partitionBy("_slice").orderBy(*best))
@@ -101,18 +101,29 @@ def encode_conversations(
 ) -> DataFrame:
     """Render and encode turn rows, one sequence per conversation; other columns go.
 
-    A turn has one token at least, so later turns than ``max_length`` cannot be
-    reached: they are left out by a ranking that is limited on the map side, and
-    a conversation of any length is a bounded group. ``keep`` columns must be
-    constant in a conversation.
+    Neighbouring turns are joined and cut to ``max_length`` tokens, then
+    neighbouring pieces, until one piece is left. A group never holds more than
+    1,024 pieces, so the turns of an endless conversation are shared by many tasks.
+    ``keep`` columns must be constant in a conversation.
     """
-    first = F.row_number().over(Window.partitionBy(conv).orderBy("turn"))
-    reached = turns.withColumn("_n", first).filter(F.col("_n") <= max_length)
-    per_turn = reached.withColumn("_tokens", F.slice(tokens(template.turn(F.col("role"), F.col("text"))), 1, max_length))
-    whole = (
-        per_turn.groupBy(conv, *keep)
-        .agg(F.sort_array(F.collect_list(F.struct("_n", "_tokens"))).alias("_turns"))
-        .withColumn("_tokens", F.slice(F.flatten(F.col("_turns._tokens")), 1, max_length))
+    highest = turns.agg(F.max("turn")).first()[0] or 0
+    pieces = turns.select(
+        conv,
+        *keep,
+        F.col("turn").alias("_at"),
+        F.slice(tokens(template.turn(F.col("role"), F.coalesce(F.col("text"), F.lit("")))), 1, max_length).alias(
+            "_tokens"
+        ),
     )
-    ids = whole.select(conv, *keep, token_lookup(vocab)(F.col("_tokens")).alias("_ids"))
+    while True:
+        pieces = (
+            pieces.groupBy(conv, *keep, F.expr(f"_at div {TURNS_PER_ROW}").alias("_at"))
+            .agg(F.sort_array(F.collect_list(F.struct("_at", "_tokens"))).alias("_joined"))
+            .withColumn("_tokens", F.slice(F.flatten(F.col("_joined._tokens")), 1, max_length))
+            .drop("_joined")
+        )
+        highest //= TURNS_PER_ROW
+        if highest == 0:
+            break
+    ids = pieces.select(conv, *keep, token_lookup(vocab)(F.col("_tokens")).alias("_ids"))
     return ids.select(conv, *keep, *[c.alias(n) for n, c in pad(F.col("_ids"), max_length).items()])

@@ -377,6 +377,7 @@ ORACLE: dict[str, str] = {
         """select mailbox, msg_idx, subject, to_addr, case layout when 0 then 1 when 3 then 2 else 3 end as n_parts,
         cast(null as string) as error from mails"""
     ),
+    "mbox_discover": "select distinct source || '.mbox' as mailbox, true as has_mail from documents",
     "jsonl_roundtrip": _query(
         f"""select subject, language, cast(n_words as int) as word_count, 0 as turn, 'system' as role,
           {_text(fv.SYSTEM_PROMPT)} as content from ok
@@ -467,7 +468,7 @@ ORACLE: dict[str, str] = {
     "ellipsize": f"""
         select doc_id, {_cut_text('text', fv.PHRASE_DISPLAY_CHARS)} as phrase,
           {_cut_text('text', fv.SAMPLE_DISPLAY_CHARS)} as sample from documents""",
-    "pipeline_stats": _query(_STATS, "judged"),
+    "processing_stats": _query(_STATS, "judged"),
     "language_distribution": _query(
         f"select *, {_SHARE.format('')} from (select language, count(*) as n from ok group by 1)", "ok", **OK_ROWS
     ),

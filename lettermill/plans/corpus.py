@@ -9,13 +9,14 @@ from lettermill.operators.bodies import header_projection, nested_body
 from lettermill.operators.examples import build_examples
 from lettermill.operators.filtering import with_status
 from lettermill.operators.language import LanguageModel, map_language
-from lettermill.operators.reports import pipeline_stats
+from lettermill.operators.reports import processing_stats
 from lettermill.operators.splitting import train_val_split
 from lettermill.session import scratch_path, staged
 from lettermill.sources.jsonl import write_examples
 from lettermill.sources.mailbox import stage_messages, with_message_index
 
-JUDGED_COLUMNS = ("source", "msg_idx", "subject", "to_addr", "clean", "n_words", "status", "language")
+PLACE = ("source", "file", "block_start", "pos")  # order of a message, without an index
+JUDGED_COLUMNS = (*PLACE, "subject", "to_addr", "clean", "n_words", "status", "language")
 
 
 def judge_messages(messages: DataFrame, model: LanguageModel) -> DataFrame:
@@ -38,12 +39,13 @@ def build_corpus(
     runs twice and a lost executor repeats one stage only.
     """
     messages = stage_messages(spark, mailboxes, scratch_path(spark, "messages"), limit)
-    indexed = with_message_index(messages, limit)
-    judged = staged(judge_messages(indexed, model).select(*JUDGED_COLUMNS), "judged")
+    if limit:
+        messages = with_message_index(messages, limit)
+    judged = staged(judge_messages(messages, model).select(*JUDGED_COLUMNS), "judged")
     write_examples(
         build_examples(judged.filter(F.col("status") == "ok"), keep=("source",)), output, by="source"
     )
-    return pipeline_stats(judged)
+    return processing_stats(judged)
 
 
 def split_corpus(examples: DataFrame, output: str, ratio: float, seed: int, id_col: str | None = None) -> None:

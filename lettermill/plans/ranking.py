@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PREFIX = 4  # hexadecimal digits per level: 65,536 buckets
+BUCKET_ROWS = 1_000_000  # a fuller bucket is divided once more
 
 
 def seeded_key(seed: int, value: Column) -> Column:
@@ -48,7 +49,7 @@ def find_cut(keys: DataFrame, ratio: float) -> Cut:
         return Cut(total, size, None, 0, 0)
     bucket, need, rows = _bucket_of(first, size)
     inside = keys.filter(F.left("key", F.lit(PREFIX)) == bucket)
-    if rows > 1_000_000:
+    if rows > BUCKET_ROWS:
         finer = F.left("key", F.lit(2 * PREFIX))
         bucket, need, _ = _bucket_of(_histogram(inside, finer), need)
         inside = inside.filter(finer == bucket)

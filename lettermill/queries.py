@@ -77,7 +77,7 @@ def mbox_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mbox_discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mailbox.find_mailboxes(spark, _mailboxes(spark, sf_dir))
-    return found.groupBy(_box_name().alias("mailbox")).agg(F.sum("length").cast("long").alias("bytes"))
+    return found.groupBy(_box_name().alias("mailbox")).agg((F.sum("length") > 0).alias("has_mail"))
 
 
 def mime_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,8 +258,8 @@ def cut_for_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- reports ----------------------------------------------------------------------------------------------
 
 
-def pipeline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.pipeline_stats(_judged(spark, sf_dir))
+def processing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.processing_stats(_judged(spark, sf_dir))
 
 
 def language_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -446,7 +446,7 @@ QUERIES: dict[str, Query] = {
     "build_examples": build_examples,
     "assistant_texts": assistant_texts,
     "ellipsize": cut_for_display,
-    "pipeline_stats": pipeline_stats,
+    "processing_stats": processing_stats,
     "language_distribution": language_distribution,
     "split_stats": split_stats,
     "split_language_stats": split_language_stats,

@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,16 +29,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="lettermill-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New path below the folder that the session names in spark.checkpoint.dir.
 
     All executors must see it. Only where the setting is absent (single-machine
     tests) a temporary folder is made.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="lettermill-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return f"{root.rstrip('/')}/lettermill/{name}-{uuid.uuid4().hex}"
 
 

@@ -187,7 +187,8 @@ def with_message_index(staged: DataFrame, limit: int | None = None) -> DataFrame
     """Adds ``msg_idx``, the 0-based place of a message in its mailbox; keeps the first ``limit``.
 
     Only counts per block are ordered, never messages: a mailbox that holds a
-    third of all mail adds one row per 128 MB to that window.
+    third of all mail adds one row per 128 MB to that window. The starts are
+    broadcast up to a million blocks, about 150 MB for 128 TB of mail.
     """
     before = (
         Window.partitionBy("source")
@@ -204,7 +205,7 @@ def with_message_index(staged: DataFrame, limit: int | None = None) -> DataFrame
         )
     )
     indexed = (
-        checked_join(staged, starts, ["file", "block_start"], "inner")
+        checked_join(staged, starts, ["file", "block_start"], "inner", max_rows=1_000_000)
         .withColumn("msg_idx", F.col("_start") + F.col("pos"))
         .drop("_start")
     )

@@ -24,9 +24,11 @@ REWRITES = [
     (r"(?i)<img\b[^>]*>", ""),
     (r"(?i)</?(?:b|strong)(?:\s[^>]*)?>", "**"),
     (r"(?i)</?(?:i|em)(?:\s[^>]*)?>", "_"),
+    (r"(?i)<blockquote\b[^>]*>", "\n\x02"),
+    (r"(?i)</blockquote\s*>", "\x03\n"),
     (
         r"(?i)</?(?:p|div|br|h[1-6]|ul|ol|li|table|tr|td|th|section|article|header|footer"
-        r"|nav|aside|main|blockquote|pre|hr|form)\b[^>]*>",
+        r"|nav|aside|main|pre|hr|form)\b[^>]*>",
         "\n",
     ),
     (r"<[^>]*>", ""),
@@ -42,10 +44,40 @@ ENTITIES = [
     ("&amp;", "&"),
 ]
 LINE_EDGES = r"[ \t\r]*\n[ \t\r]*"
+QUOTE_MARKS = r"[\x02\x03]"
+WRAP_COLUMNS = 78
+LINE_WRAP = rf"([^\n]{{1,{WRAP_COLUMNS}}}|[^ \n]+)(?: +|\n|$)"
+
+
+def _quote_lines(text: Column) -> Column:
+    """Put ``> `` before the lines between quote marks, once for every level."""
+
+    def add(done: Column, piece: Column) -> Column:
+        step = F.when(piece.startswith("\x02"), 1).when(piece.startswith("\x03"), -1).otherwise(0)
+        depth = F.greatest(done["depth"] + step, F.lit(0))
+        mark = F.repeat(F.lit("> "), depth)
+        lines = strip(F.regexp_replace(piece, QUOTE_MARKS, ""))
+        quoted = F.concat(F.lit("\n"), mark, F.replace(lines, F.lit("\n"), F.concat(F.lit("\n"), mark)))
+        return F.struct(
+            depth.alias("depth"), F.concat(done["text"], F.when(lines == "", "").otherwise(quoted)).alias("text")
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
+    pieces = F.split(text, rf"(?={QUOTE_MARKS})")
+    return F.when(text.rlike(QUOTE_MARKS), F.aggregate(pieces, start, add, lambda done: done["text"])).otherwise(text)
 
 
 def html_to_text(html: Column) -> Column:
     text = reduce(lambda c, r: F.regexp_replace(c, r[0], r[1]), REWRITES, html)
     text = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
     text = F.regexp_replace(text, LINE_EDGES, "\n")
-    return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))
+    return strip(_quote_lines(F.regexp_replace(text, r"\n{3,}", "\n\n")))
+
+
+def wrap_lines(text: Column) -> Column:
+    """Break lines at 78 columns; a longer word keeps a line of its own.
+
+    Without it the cleaner would take every longer paragraph of an HTML body for
+    an artifact and drop it.
+    """
+    return strip(F.regexp_replace(text, LINE_WRAP, "$1\n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lettermill.functions.html import html_to_text
+from lettermill.functions.html import html_to_text, wrap_lines
 from lettermill.functions.text import strip
 
 PLAIN = "text/plain"
@@ -33,7 +33,7 @@ def decode_utf8(payload: Column) -> Column:
 def body_text(content_type: Column, payload: Column) -> Column:
     """Text of a chosen part: decoded, and converted where it is HTML."""
     decoded = decode_utf8(payload)
-    return F.when(content_type == HTML, html_to_text(decoded)).otherwise(decoded)
+    return F.when(content_type == HTML, wrap_lines(html_to_text(decoded))).otherwise(decoded)
 
 
 def is_candidate(content_type: Column, disposition: Column, multipart: Column) -> Column:

@@ -85,6 +85,11 @@ def _html(x: str) -> str:
     return _strip(f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
 
 
+def _html_body(x: str) -> str:
+    """HTML body, wrapped the way the reader must wrap it."""
+    return _strip(f"regexp_replace({_html(x)}, '{html_rules.LINE_WRAP}', '\\1' || chr(10), 'g')")
+
+
 def _hits(x: str, needles: list[str]) -> str:
     return " + ".join(
         f"(length({x}) - length(replace({x}, {_text(n)}, ''))) // {len(n)}" for n in needles
@@ -314,7 +319,7 @@ _CORPUS = f"""
     with emails as ({views.EMAILS}),
     texts as (
       select case doc_id % 4 when 0 then regexp_replace(body, '(?m)^From ', '>From ', 'g') when 1 then body
-        when 2 then {_html("regexp_replace('" + views.HTML_BODY.split("{}")[0] + "' || body || '" + views.HTML_BODY.split("{}")[1] + "', '(?m)^From ', '>From ', 'g')")}
+        when 2 then {_html_body("regexp_replace('" + views.HTML_BODY.split("{}")[0] + "' || body || '" + views.HTML_BODY.split("{}")[1] + "', '(?m)^From ', '>From ', 'g')")}
         end as body from emails),
     cut as (select body, {_lines(CUT.format(t="coalesce(body, '')"))} as ls from texts),
     cleaned as (select body, {_normal(_join(_KEPT))} as clean from cut),
@@ -408,7 +413,7 @@ ORACLE: dict[str, str] = {
     ),
     "choose_body": _query(
         f"""select d.doc_id as msg_id, content_type as body_type,
-          case when content_type = 'text/html' then {_html('payload')} else payload end as body
+          case when content_type = 'text/html' then {_html_body('payload')} else payload end as body
         from documents d left join (
           select * from parts where content_type in ('text/plain', 'text/html')
             and (not multipart or disposition is null or not contains(disposition, 'attachment'))

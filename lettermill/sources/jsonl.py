@@ -31,7 +31,7 @@ def read_examples(spark: SparkSession, path: str, schema: T.StructType = EXAMPLE
     """Examples with a fixed schema, no inference pass.
 
     Absent fields are NULL. A line that is not JSON is kept in ``_corrupt_record``
-    instead of ending the run; filter on it to reject or to inspect.
+    instead of ending the run; ``readable`` and ``rejects`` tell them apart.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
@@ -59,5 +59,14 @@ def read_split(spark: SparkSession, path: str, value: str, by: str = "split") ->
     return read_examples(spark, f"{path.rstrip('/')}/{by}={value}").drop(by)
 
 
+def readable(examples: DataFrame) -> DataFrame:
+    """Lines that are JSON, without the reject column.
+
+    A line whose messages could be read stays even if another field has a wrong type.
+    """
+    good = F.col("messages").isNotNull() | F.col(CORRUPT).isNull()
+    return examples.filter(good).drop(CORRUPT)
+
+
 def rejects(examples: DataFrame) -> DataFrame:
-    return examples.filter(F.col(CORRUPT).isNotNull())
+    return examples.filter(F.col("messages").isNull() & F.col(CORRUPT).isNotNull())

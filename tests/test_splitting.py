@@ -123,7 +123,8 @@ def test_split_corpus_round_trip(spark, tmp_path):
 def test_bad_lines_are_kept_as_rejects(spark, tmp_path):
     path = tmp_path / "x.jsonl"
     path.write_text('{"messages":[{"role":"user","content":"a"}]}\n{broken\n{"messages":null}\n', encoding="utf-8")
-    rows = jsonl.read_examples(spark, str(path)).cache()
+    rows = jsonl.read_examples(spark, str(path))
     assert rows.count() == 3
+    assert jsonl.readable(rows).count() == 2 and jsonl.rejects(rows).count() == 1
     assert [r[jsonl.CORRUPT] for r in jsonl.rejects(rows).collect()] == ["{broken"]
     assert rows.filter("metadata is null").count() == 3

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from lettermill.functions.html import html_to_text
+from lettermill.functions.html import html_to_text, wrap_lines
 from lettermill.operators import chats, examples, language, reports, sequences, style
 from lettermill.operators.language import LanguageModel
 from lettermill.streaming.incremental import stream_examples, write_stream
@@ -31,12 +31,28 @@ def plan_of(df):
         ("<head><title>t</title></head><style>p{}</style><script>x('</p>')</script>a<!-- c -->b", "ab"),
         ("&amp;lt;p&amp;gt; &lt;p&gt; &quot;q&#39;&nbsp;", "&lt;p&gt; <p> \"q'"),
         ("a<br>b<br/>c", "a\nb\nc"),
+        ("a<blockquote><p>q</p><p>r</p></blockquote>b", "a\n> q\n> \n> r\nb"),
+        ("<blockquote>q<blockquote>r</blockquote>s</blockquote>b", "> q\n> > r\n> s\nb"),
+        ("a</blockquote>b", "a\nb"),
     ],
 )
 def test_html_to_text(texts, html, expected):
     assert texts([html]).select(html_to_text(F.col("text"))).first()[0] == expected
 
 
+def test_wrapping_equals_the_standard_library(texts):
+    import random
+    import textwrap
+
+    rng = random.Random(5)
+    words = [("x" * rng.choice([1, 2, 5, 9, 77, 78, 79, 120])) for _ in range(3000)]
+    lines = [" ".join(words[i : i + rng.randint(1, 40)]) for i in range(0, 3000, 20)]
+    wrapped = texts(["\n".join(lines)]).select(wrap_lines(F.col("text"))).first()[0]
+    expected = [w for line in lines for w in textwrap.wrap(line, 78, break_long_words=False)]
+    assert wrapped.split("\n") == expected
+    assert texts(["a\n\nb"]).select(wrap_lines(F.col("text"))).first()[0] == "a\n\nb"
+
+
 # --- language ---------------------------------------------------------------------------
 
 

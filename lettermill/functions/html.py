@@ -7,6 +7,7 @@ never turn into real ones.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -17,15 +18,13 @@ from lettermill.functions.text import strip
 # --- Fixed values: order matters ------------------------------------------------
 REWRITES = [
     (r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>", "[$2]($1)"),
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?is)<head\b.*?</head>", ""),
-    (r"(?is)<script\b.*?</script>", ""),
-    (r"(?is)<style\b.*?</style>", ""),
-    (r"(?i)<img\b[^>]*>", ""),
+    (
+        r"(?is)<!--.*?-->|<head\b.*?</head>|<script\b.*?</script>|<style\b.*?</style>|<img\b[^>]*>",
+        "",
+    ),
     (r"(?i)</?(?:b|strong)(?:\s[^>]*)?>", "**"),
     (r"(?i)</?(?:i|em)(?:\s[^>]*)?>", "_"),
-    (r"(?i)<blockquote\b[^>]*>", "\n\x02"),
-    (r"(?i)</blockquote\s*>", "\x03\n"),
+    (r"(?i)<(/?)blockquote\b[^>]*>", "\n\x02$1\n"),
     (
         r"(?i)</?(?:p|div|br|h[1-6]|ul|ol|li|table|tr|td|th|section|article|header|footer"
         r"|nav|aside|main|pre|hr|form)\b[^>]*>",
@@ -44,7 +43,7 @@ ENTITIES = [
     ("&amp;", "&"),
 ]
 LINE_EDGES = r"[ \t\r]*\n[ \t\r]*"
-QUOTE_MARKS = r"[\x02\x03]"
+QUOTE_MARK = "\x02"  # begins a quote; before a slash, ends it
 WRAP_COLUMNS = 78
 LINE_WRAP = rf"([^\n]{{1,{WRAP_COLUMNS}}}|[^ \n]+)(?: +|\n|$)"
 
@@ -53,25 +52,30 @@ def _quote_lines(text: Column) -> Column:
     """Put ``> `` before the lines between quote marks, once for every level."""
 
     def add(done: Column, piece: Column) -> Column:
-        step = F.when(piece.startswith("\x02"), 1).when(piece.startswith("\x03"), -1).otherwise(0)
+        first = done["text"].isNull()
+        step = F.when(first, 0).when(piece.startswith("/"), -1).otherwise(1)
         depth = F.greatest(done["depth"] + step, F.lit(0))
         mark = F.repeat(F.lit("> "), depth)
-        lines = strip(F.regexp_replace(piece, QUOTE_MARKS, ""))
+        lines = strip(F.when(step == -1, F.substr(piece, F.lit(2))).otherwise(piece))
         quoted = F.concat(F.lit("\n"), mark, F.replace(lines, F.lit("\n"), F.concat(F.lit("\n"), mark)))
-        return F.struct(
-            depth.alias("depth"), F.concat(done["text"], F.when(lines == "", "").otherwise(quoted)).alias("text")
-        )
+        text = F.concat(F.coalesce(done["text"], F.lit("")), F.when(lines == "", "").otherwise(quoted))
+        return F.struct(depth.alias("depth"), text.alias("text"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(None).cast("string").alias("text"))
+    return F.aggregate(F.split(text, QUOTE_MARK), start, add, lambda done: done["text"])
+
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
-    pieces = F.split(text, rf"(?={QUOTE_MARKS})")
-    return F.when(text.rlike(QUOTE_MARKS), F.aggregate(pieces, start, add, lambda done: done["text"])).otherwise(text)
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def html_to_text(html: Column) -> Column:
     text = reduce(lambda c, r: F.regexp_replace(c, r[0], r[1]), REWRITES, html)
     text = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
     text = F.regexp_replace(text, LINE_EDGES, "\n")
-    return strip(_quote_lines(F.regexp_replace(text, r"\n{3,}", "\n\n")))
+    text = F.regexp_replace(text, r"\n{3,}", "\n\n")
+    return strip(_once(text, lambda t: F.when(t.contains(QUOTE_MARK), _quote_lines(t)).otherwise(t)))
 
 
 def wrap_lines(text: Column) -> Column:

@@ -51,9 +51,12 @@ def word_count(text: Column) -> Column:
 
 
 def count_substring(text: Column, needle: str) -> Column:
-    """Non-overlapping occurrences of ``needle``: grow each hit by one character."""
+    """Non-overlapping occurrences of ``needle``: grow each hit by one byte.
+
+    Byte lengths are stored with the string; character lengths would be counted.
+    """
     grown = F.replace(text, F.lit(needle), F.lit(needle + "+"))
-    return F.length(grown) - F.length(text)
+    return F.octet_length(grown) - F.octet_length(text)
 
 
 def count_substrings(text: Column, needles: list[str]) -> Column:

@@ -42,9 +42,9 @@ def word_profile(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
 def bucket_profile(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Share of each hash bucket in each language, in words per million."""
     counts = (
-        labelled.select(F.col(lang).alias("lang"), F.explode(words(F.col(text))).alias("word"))
+        word_profile(labelled, text, lang)  # each distinct word is hashed once
         .groupBy("lang", word_bucket(F.col("word")).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     total = F.sum("n").over(Window.partitionBy("lang"))  # at most 4,096 rows a language
     return counts.select("lang", "bucket", F.floor(F.col("n") * PER_MILLION / total).cast("long").alias("score"))
@@ -88,9 +88,8 @@ def map_language(lang: Column) -> Column:
     return F.when(lang.isin(KEPT_LANGUAGES), lang).otherwise(F.lit(UNKNOWN_LANGUAGE))
 
 
-def language_flags(text: Column) -> dict[str, Column]:
+def language_flags(lower: Column) -> dict[str, Column]:
     """Substring tests on the lower-case text; a text can have both flags or none."""
-    lower = F.lower(text)
     return {
         "is_dutch": contains_any(lower, DUTCH_INDICATORS),
         "is_english": contains_any(lower, ENGLISH_INDICATORS),

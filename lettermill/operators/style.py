@@ -36,6 +36,7 @@ from lettermill.functions.text import (
     word_count,
 )
 from lettermill.operators.language import language_flags
+from lettermill.plans.parallelism import with_columns_once
 from lettermill.plans.ranking import seeded_key
 
 PHRASE_COUNTS = ("contractions", "formal", "casual")
@@ -46,8 +47,12 @@ def written(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn(text, strip(F.col(text))).filter(F.col(text) != "")
 
 
-def phrase_counts(text: Column) -> dict[str, Column]:
-    lower = F.lower(text)
+def _with_lower(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``_lower``, which forty substring tests share."""
+    return with_columns_once(written(df, text), {"_lower": F.lower(F.col(text))})
+
+
+def phrase_counts(lower: Column) -> dict[str, Column]:
     return {
         "contractions": count_substrings(lower, CONTRACTIONS),
         "formal": count_substrings(lower, FORMAL_PHRASES),
@@ -69,7 +74,7 @@ def _total(column: str) -> Column:
 
 def formality_counts(df: DataFrame, *groups: str, text: str = "text") -> DataFrame:
     """Contractions, formal phrases and casual words with the label they give."""
-    features = written(df, text).select(*groups, *[c.alias(n) for n, c in phrase_counts(F.col(text)).items()])
+    features = _with_lower(df, text).select(*groups, *[c.alias(n) for n, c in phrase_counts(F.col("_lower")).items()])
     totals = features.groupBy(*groups).agg(*[_total(c) for c in PHRASE_COUNTS])
     return totals.withColumn("label", formality_label(F.col("contractions"), F.col("formal")))
 
@@ -100,7 +105,7 @@ def length_stats(df: DataFrame, *groups: str, text: str = "text") -> DataFrame:
 
 def language_indicators(df: DataFrame, *groups: str, text: str = "text") -> DataFrame:
     """Texts with Dutch and with English keywords, and their percentages."""
-    flags = written(df, text).select(*groups, *[c.alias(n) for n, c in language_flags(F.col(text)).items()])
+    flags = _with_lower(df, text).select(*groups, *[c.alias(n) for n, c in language_flags(F.col("_lower")).items()])
     counts = flags.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("texts"),
         F.count_if("is_dutch").alias("dutch"),
@@ -169,12 +174,12 @@ def style_features(df: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     body = F.col(text)
     columns = {
         "n_words": word_count(body),
-        **phrase_counts(body),
+        **phrase_counts(F.col("_lower")),
         "exclamations": count_substring(body, "!"),
         "questions": count_substring(body, "?"),
-        **{name: flag.cast("int") for name, flag in language_flags(body).items()},
+        **{name: flag.cast("int") for name, flag in language_flags(F.col("_lower")).items()},
     }
-    return written(df, text).select(*keep, *[c.alias(n) for n, c in columns.items()])
+    return _with_lower(df, text).select(*keep, *[c.alias(n) for n, c in columns.items()])
 
 
 def style_totals(df: DataFrame, *groups: str, text: str = "text") -> DataFrame:
@@ -208,24 +213,28 @@ def style_totals(df: DataFrame, *groups: str, text: str = "text") -> DataFrame:
 
 
 def _top_items(df: DataFrame, groups: tuple[str, ...], text: str) -> DataFrame:
-    """Openings, closings and words counted in one pass, best of each section."""
-    body = F.col(text)
-
-    def item(section: str, value: Column) -> Column:
-        return F.struct(F.lit(section).alias("section"), value.alias("item"))
+    """Openings, closings and words counted in one pass, best of each section.
 
-    items = F.concat(
-        F.array(item("opening", first_line(body)), item("closing", last_line(body))),
-        F.transform(
-            F.filter(plain_words(body), lambda w: ~w.isin(STOP_WORDS)),
-            lambda w: item("word", w),
-        ),
-    )
+    Plain words consist of letters, so one leading sign tells openings and
+    closings from them in a single string key.
+    """
+    body = F.col(text)
+    marks = {"<": "opening", ">": "closing"}
+    phrases = [F.concat(F.lit("<"), first_line(body)), F.concat(F.lit(">"), last_line(body))]
+    key, mark = F.col("_key"), F.left("_key", F.lit(1))
+    section = F.when(mark == "<", marks["<"]).when(mark == ">", marks[">"]).otherwise("word")
     counts = (
         written(df, text)
-        .select(*groups, F.inline(items))
-        .groupBy(*groups, "section", "item")
+        .select(*groups, F.explode(F.concat(F.array(*phrases), plain_words(body))).alias("_key"))
+        .filter(~key.isin(STOP_WORDS))
+        .groupBy(*groups, "_key")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            *groups,
+            section.alias("section"),
+            F.when(mark.isin(*marks), F.substr(key, F.lit(2))).otherwise(key).alias("item"),
+            "n",
+        )
         .filter((F.col("section") == "word") | (F.col("n") > 1))
     )
     order = Window.partitionBy(*groups, "section").orderBy(F.desc("n"), "item")

@@ -36,6 +36,7 @@ def _arguments() -> argparse.Namespace:
     build.add_argument("--labelled", required=True, help="Parquet table with text and lang to learn languages from")
     build.add_argument("--max-emails", type=int, help="first messages of every mailbox only")
     build.add_argument("--sample", action="store_true", help=f"first {SAMPLE_POOL} messages of every mailbox")
+    build.add_argument("--any-name", action="store_true", help="read files that are not called mbox or *.mbox too")
     split = commands.add_parser("split", help="exact train and validation sets")
     split.add_argument("corpus")
     split.add_argument("output")
@@ -63,7 +64,7 @@ def main() -> None:
     if args.command == "build":
         model = LanguageModel.fit(spark.read.parquet(args.labelled))
         limit = SAMPLE_POOL if args.sample else args.max_emails
-        build_corpus(spark, args.source, args.output, model, limit).show(truncate=False)
+        build_corpus(spark, args.source, args.output, model, limit, args.any_name).show(truncate=False)
         rows = read_examples(spark, args.output).select("metadata.language")
         language_distribution(rows).show(truncate=False)
     elif args.command == "split":

@@ -29,7 +29,6 @@ from lettermill.functions.text import (
     count_substrings,
     ellipsize,
     first_line,
-    is_blank,
     last_line,
     plain_words,
     strip,

@@ -31,6 +31,7 @@ def build_corpus(
     output: str,
     model: LanguageModel,
     limit: int | None = None,
+    any_name: bool = False,
 ) -> DataFrame:
     """Mailboxes to ``output/source=.../*.json``; returns the run counters.
 
@@ -38,7 +39,7 @@ def build_corpus(
     language report and the corpus all read the second one, so nothing expensive
     runs twice and a lost executor repeats one stage only.
     """
-    messages = stage_messages(spark, mailboxes, scratch_path(spark, "messages"), limit)
+    messages = stage_messages(spark, mailboxes, scratch_path(spark, "messages"), limit, any_name)
     if limit:
         messages = with_message_index(messages, limit)
     judged = staged(judge_messages(messages, model).select(*JUDGED_COLUMNS), "judged")

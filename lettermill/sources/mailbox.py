@@ -53,26 +53,24 @@ def find_mailboxes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scan_mailboxes(spark: SparkSession, path: str) -> DataFrame:
-    """Raw records ``(source, file, block_start, raw)`` in file order inside each block."""
-    return (
-        spark.read.option("lineSep", SEPARATOR)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", FILE_NAMES)
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            (
-                F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")
-                == F.col("_metadata.file_size")
-            ).alias("last_block"),
-            F.col("value").cast("binary").alias("raw"),
-        )
-        .filter(F.col("file").rlike(MAILBOX_FILE) | (F.lit(path).endswith(".mbox") | F.lit(path).endswith("/mbox")))
-        .withColumn("source", _source(F.col("file")))
-        .select("source", "file", "block_start", "last_block", "raw")
+def scan_mailboxes(spark: SparkSession, path: str, any_name: bool = False) -> DataFrame:
+    """Raw records ``(source, file, block_start, last_block, raw)`` in file order inside each block.
+
+    ``any_name`` reads every file below ``path`` as a mailbox, whatever it is called.
+    """
+    reader = spark.read.option("lineSep", SEPARATOR).option("recursiveFileLookup", "true")
+    if not any_name:
+        reader = reader.option("pathGlobFilter", FILE_NAMES)
+    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    records = reader.text(path).select(
+        _source(file).alias("source"),
+        file.alias("file"),
+        start.alias("block_start"),
+        (start + F.col("_metadata.file_block_length") == F.col("_metadata.file_size")).alias("last_block"),
+        F.col("value").cast("binary").alias("raw"),
     )
+    inside = any_name or path.rstrip("/").endswith((".mbox", "/mbox"))
+    return records if inside else records.filter(F.col("file").rlike(MAILBOX_FILE))
 
 
 def _message_bytes(raw: bytes, first_in_file: bool, last_in_file: bool) -> bytes | None:
@@ -162,7 +160,9 @@ def _parser(schema: pa.Schema, limit: int | None):
     return parse
 
 
-def read_messages(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+def read_messages(
+    spark: SparkSession, path: str, limit: int | None = None, any_name: bool = False
+) -> DataFrame:
     """Parsed messages, one row each.
 
     ``limit`` only spares the parser what can never be among the first ``limit``
@@ -171,15 +171,17 @@ def read_messages(spark: SparkSession, path: str, limit: int | None = None) -> D
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = to_arrow_schema(spark.createDataFrame([], MESSAGE_SCHEMA).schema)
-    return scan_mailboxes(spark, path).mapInArrow(_parser(schema, limit), MESSAGE_SCHEMA)
+    return scan_mailboxes(spark, path, any_name).mapInArrow(_parser(schema, limit), MESSAGE_SCHEMA)
 
 
-def stage_messages(spark: SparkSession, source_path: str, table_path: str, limit: int | None = None) -> DataFrame:
+def stage_messages(
+    spark: SparkSession, source_path: str, table_path: str, limit: int | None = None, any_name: bool = False
+) -> DataFrame:
     """Parse once and keep the text parts as a table, far smaller than mailboxes with attachments.
 
     Everything after this reads columns of the table instead of parsing again.
     """
-    read_messages(spark, source_path, limit).write.parquet(table_path)
+    read_messages(spark, source_path, limit, any_name).write.parquet(table_path)
     return spark.read.parquet(table_path)
 
 

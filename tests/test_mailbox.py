@@ -105,6 +105,12 @@ def test_discovery_reads_each_mailbox_once(spark, tmp_path):
     assert len({r["source"] for r in rows}) == 4
 
 
+def test_a_mailbox_of_any_name(spark, tmp_path):
+    write(tmp_path / "Sent", [single("one", "body"), single("two", "body")])
+    assert source.read_messages(spark, str(tmp_path / "Sent"), any_name=True).count() == 2
+    assert source.read_messages(spark, str(tmp_path)).count() == 0
+
+
 def bodies(spark, path):
     rows = nested_body(header_projection(read(spark, path))).orderBy("msg_idx").collect()
     return [r["body"] for r in rows]

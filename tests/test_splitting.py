@@ -92,6 +92,12 @@ def test_first_n_per_group(spark, monkeypatch, n, two_stage):
     assert found == {k: v[:n] for k, v in expected.items()}
 
 
+def test_limit_prunes_before_each_shuffle(spark):
+    rows = spark.range(100).select((F.col("id") % 3).alias("source"), F.col("id").alias("doc_id"))
+    plan = first_n_per_group(rows, "source", "doc_id", 20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 4  # partial and final, for slices and for groups
+
+
 def test_no_limit_keeps_all(spark):
     assert first_n_per_group(ids(spark, 10), "doc_id", "doc_id", 0).count() == 10
     assert first_n_per_group(ids(spark, 10), "doc_id", "doc_id", None).count() == 10

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lettermill.llm import simhash
+from lettermill.llm import packing, simhash
+
+BYTE_BPE = (
+    public_tokenizers.path("byte_bpe_50k.json"),
+    public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    public_tokenizers.PATTERN,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +24,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op8_packing": op8_packing,
 }
 
 ORACLE: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lettermill.llm import packing, simhash
+from lettermill.llm import packing, simhash, substrings
 
 BYTE_BPE = (
     public_tokenizers.path("byte_bpe_50k.json"),
@@ -28,9 +28,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.without_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op8_packing": op8_packing,
+    "op10_substrings": op10_substrings,
 }
 
 ORACLE: dict[str, str] = {}

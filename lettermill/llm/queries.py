@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lettermill.llm import packing, simhash, substrings
+from lettermill.llm import packing, simhash, substrings, toxicity
 
 BYTE_BPE = (
     public_tokenizers.path("byte_bpe_50k.json"),
@@ -24,6 +24,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~toxicity.held_out()))
+    narrow = docs.select("doc_id", "text", toxicity.held_out().alias("held_out"))
+    return toxicity.with_toxicity(narrow, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -35,6 +42,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op4_toxicity": op4_toxicity,
     "op8_packing": op8_packing,
     "op10_substrings": op10_substrings,
 }

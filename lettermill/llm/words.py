@@ -16,6 +16,9 @@ import pyarrow as pa
 SLICE_BYTES = 2 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Anything but ASCII letters, digits and bytes of other scripts separates words.
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[48:58] = PUNCTUATION[65:91] = PUNCTUATION[97:123] = PUNCTUATION[128:] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -56,11 +59,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYT
             start = end
 
 
-def split_words(column: pa.Array, lower: bool = False) -> Words:
+def split_words(column: pa.Array, lower: bool = False, separators: np.ndarray = _SPACE) -> Words:
     data, bounds = text_bytes(column)
     if lower:
         data = _LOWER[data]
-    word = ~_SPACE[data]
+    word = ~separators[data]
     fresh = np.zeros(len(data) + 1, bool)  # a document begins here
     fresh[bounds] = True
     before = np.empty(len(data), bool)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lettermill.llm import packing, simhash, substrings, toxicity
+from lettermill.llm import langid, packing, simhash, substrings, toxicity
 
 BYTE_BPE = (
     public_tokenizers.path("byte_bpe_50k.json"),
@@ -24,6 +24,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.fit_text_model(_table(spark, sf_dir, "documents"))
+    return langid.identify_pages(_table(spark, sf_dir, "pages"), model)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(~toxicity.held_out()))
@@ -42,6 +47,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_langid": op3_langid,
     "op4_toxicity": op4_toxicity,
     "op8_packing": op8_packing,
     "op10_substrings": op10_substrings,

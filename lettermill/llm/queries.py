@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lettermill.llm import langid, packing, simhash, substrings, toxicity
+from lettermill.llm import embeddings, langid, packing, simhash, substrings, toxicity
 
 BYTE_BPE = (
     public_tokenizers.path("byte_bpe_50k.json"),
@@ -40,6 +40,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.without_repeats(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": op3_langid,
     "op4_toxicity": op4_toxicity,
     "op8_packing": op8_packing,
+    "op9_embeddings": op9_embeddings,
     "op10_substrings": op10_substrings,
 }
 

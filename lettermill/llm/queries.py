@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lettermill.llm import embeddings, langid, lm, packing, simhash, substrings, toxicity
+from lettermill.llm import embeddings, langid, licenses, lm, packing, simhash, substrings, toxicity
+from lettermill.llm.oracle import ORACLE
 
 BYTE_BPE = (
     public_tokenizers.path("byte_bpe_50k.json"),
@@ -36,6 +37,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.with_toxicity(narrow, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", lm.held_out().alias("held_out"))
     return lm.with_scores(docs, lm.fit(docs.filter(~lm.held_out())))
@@ -58,10 +63,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_langid": op3_langid,
     "op4_toxicity": op4_toxicity,
+    "op6_licenses": op6_licenses,
     "op7_lm": op7_lm,
     "op8_packing": op8_packing,
     "op9_embeddings": op9_embeddings,
     "op10_substrings": op10_substrings,
 }
-
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lettermill.llm import embeddings, langid, licenses, lm, packing, simhash, substrings, toxicity
+from lettermill.llm import embeddings, fingerprints, langid, licenses, lm, packing, simhash, substrings, toxicity
 from lettermill.llm.oracle import ORACLE
 
 BYTE_BPE = (
@@ -37,6 +37,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.with_toxicity(narrow, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_versions(_table(spark, sf_dir, "documents"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_langid": op3_langid,
     "op4_toxicity": op4_toxicity,
+    "op5_fingerprints": op5_fingerprints,
     "op6_licenses": op6_licenses,
     "op7_lm": op7_lm,
     "op8_packing": op8_packing,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lettermill.llm import embeddings, fingerprints, langid, licenses, lm, packing, simhash, substrings, toxicity
+from lettermill.llm import embeddings, fingerprints, langid, licenses, lm, packing, sentencepieces, simhash, substrings, toxicity
 from lettermill.llm.oracle import ORACLE
 
 BYTE_BPE = (
@@ -25,6 +25,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return sentencepieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit_text_model(_table(spark, sf_dir, "documents"))
     return langid.identify_pages(_table(spark, sf_dir, "pages"), model)
@@ -65,6 +70,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_sentencepieces": op2_sentencepieces,
     "op3_langid": op3_langid,
     "op4_toxicity": op4_toxicity,
     "op5_fingerprints": op5_fingerprints,

@@ -9,63 +9,63 @@ from pyspark.sql import functions as F
 
 from lettermill.functions.text import strip
 from lettermill.operators.style import style_totals
+from lettermill.plans.levels import joined_in_levels
 
-TURNS_PER_ROW = 1024
 VARIANTS = ("base", "tuned")
 
 
 @dataclass(frozen=True)
 class ChatTemplate:
-    """Marks around every turn; ``{role}`` is replaced by the role."""
+    """Marks around every turn; ``{role}`` is replaced by the role.
+
+    ``begin`` stands once before the first turn. ``roles`` gives single roles
+    marks of their own: (role, open, close).
+    """
 
     turn_open: str = "<|{role}|>\n"
     turn_close: str = "<|end|>\n"
     reply_role: str = "assistant"
+    begin: str = ""
+    roles: tuple[tuple[str, str, str], ...] = ()
 
     def turn(self, role: Column, content: Column) -> Column:
-        before, after = self.turn_open.split("{role}")
-        return F.concat(F.lit(before), role, F.lit(after), content, F.lit(self.turn_close))
+        """Text of one turn; a null role or content counts as empty."""
+        role, content = F.coalesce(role, F.lit("")), F.coalesce(content, F.lit(""))
+        before, name, after = self.turn_open.partition("{role}")
+        text = F.concat(F.lit(before), role if name else F.lit(""), F.lit(after), content, F.lit(self.turn_close))
+        for own, opening, closing in self.roles:
+            text = F.when(role == own, F.concat(F.lit(opening), content, F.lit(closing))).otherwise(text)
+        return text
 
     def reply_start(self) -> str:
-        return self.turn_open.format(role=self.reply_role)
+        own = {role: opening for role, opening, _ in self.roles}
+        return own.get(self.reply_role, self.turn_open.format(role=self.reply_role))
 
     def render(self, messages: Column, generation_prompt: bool = False) -> Column:
         """One string from an ordered ``messages`` array: a narrow projection."""
-        turns = F.transform(messages, lambda m: self.turn(m["role"], F.coalesce(m["content"], F.lit(""))))
-        text = F.array_join(turns, "")
-        return F.concat(text, F.lit(self.reply_start())) if generation_prompt else text
+        turns = F.array_join(F.transform(messages, lambda m: self.turn(m["role"], m["content"])), "")
+        return F.concat(F.lit(self.begin), turns, F.lit(self.reply_start() if generation_prompt else ""))
 
 
 DEFAULT_TEMPLATE = ChatTemplate()
 
 
-def nest_turns(turns: DataFrame, conv: str = "conv_id", turns_per_row: int = TURNS_PER_ROW) -> DataFrame:
-    """Turn rows to rows with an ordered ``messages`` array.
-
-    A conversation of up to 1,024 turns is one row with ``piece`` 0. A longer one
-    goes on in further pieces, so no task ever holds a whole endless conversation.
-    """
-    return (
-        turns.groupBy(conv, F.expr(f"turn div {turns_per_row}").alias("piece"))
-        .agg(F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("_turns"))
-        .select(
-            conv,
-            "piece",
-            F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias(
-                "messages"
-            ),
-        )
-    )
+def nest_turns(turns: DataFrame, conv: str = "conv_id") -> DataFrame:
+    """Turn rows to one row per conversation with an ordered ``messages`` array."""
+    message = F.array(F.struct(F.col("role").alias("role"), F.col("text").alias("content")))
+    return joined_in_levels(turns.withColumn("messages", message), [conv], "turn", "messages", F.flatten)
 
 
 def render_chat(turns: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, conv: str = "conv_id") -> DataFrame:
-    """Chat text of every conversation, and the same text ready for a reply."""
-    return nest_turns(turns, conv).select(
-        conv,
-        "piece",
-        template.render(F.col("messages")).alias("chat"),
-        template.render(F.col("messages"), generation_prompt=True).alias("chat_for_reply"),
-    )
+    """Chat text of every conversation, and the same text ready for a reply.
+
+    Every turn is rendered by itself and texts are joined in levels, so a
+    conversation of any length is one row with one reply mark at its end.
+    """
+    rendered = turns.withColumn("chat", template.turn(F.col("role"), F.col("text")))
+    joined = joined_in_levels(rendered, [conv], "turn", "chat", lambda parts: F.array_join(parts, ""))
+    chat = F.concat(F.lit(template.begin), "chat")
+    return joined.select(conv, chat.alias("chat"), F.concat(chat, F.lit(template.reply_start())).alias("chat_for_reply"))
 
 
 def extract_reply(response: Column) -> Column:
@@ -81,8 +81,8 @@ def prompt_grid(
     template: ChatTemplate = DEFAULT_TEMPLATE,
 ) -> DataFrame:
     """Every prompt for every variant, with the text to send."""
-    before, after = (template.turn(F.lit("user"), F.col(prompt)), F.lit(template.reply_start()))
-    return prompts.withColumn("request", F.concat(before, after)).withColumn(
+    request = F.concat(F.lit(template.begin), template.turn(F.lit("user"), F.col(prompt)), F.lit(template.reply_start()))
+    return prompts.withColumn("request", request).withColumn(
         "variant", F.explode(F.array(*[F.lit(v) for v in variants]))
     )
 

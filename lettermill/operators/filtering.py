@@ -11,9 +11,8 @@ from lettermill.functions.text import word_count
 from lettermill.plans.parallelism import with_columns_once
 from lettermill.session import staged
 
-SALTS = 64
-TWO_STAGE_ROWS = 1_000  # up to here Spark limits ranks on the map side
-BOUNDARY_ROWS = 1_000_000
+RANGES = 1024  # parts of a range of numbers, per step
+BOUNDARY_ROWS = 1_000_000  # rows of a group that are ranked together, at most
 
 
 def with_clean_text(emails: DataFrame, body: str = "body") -> DataFrame:
@@ -41,67 +40,49 @@ def accepted(emails: DataFrame, body: str = "body") -> DataFrame:
 def first_n_per_group(df: DataFrame, group: str, order: str, n: int | None) -> DataFrame:
     """First ``n`` rows of every group by a unique integer ``order``; 0 or None keeps all.
 
-    Small ``n``: the best rows of 64 slices of each group, then of the group, so
-    a group that holds a third of all rows is still ranked by many tasks.
-    Large ``n``: ``_cut_by_counts``, which ranks only around the cut.
+    NULL is a group like any other; rows with a NULL ``order`` come after all
+    numbers and are not kept. Rows are counted per (group, range of numbers): whole ranges before
+    the cut are kept, the range that holds it is divided until it has at most
+    ``BOUNDARY_ROWS`` rows, and only these are ranked. So no step ranks a whole
+    group, whatever ``n`` and however many rows the group holds.
     """
     if not n:
         return df
-    if n > TWO_STAGE_ROWS:
-        return _cut_by_counts(df, group, order, n)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(SALTS)))
-    for keys in ([group, "_salt"], [group]):
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-        salted = salted.withColumn("_rank", rank).filter(F.col("_rank") <= n)
-    return salted.drop("_salt", "_rank")
-
-
-def _cut_by_counts(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
-    """Count rows per (group, range of order), keep whole ranges, rank in the last one.
-
-    The range that holds the cut is divided again until it is small, so no
-    step ranks a whole group.
-    """
-    parts = 1024
-    cuts = df.groupBy(group).agg(
-        F.min(order).alias("_lo"), F.max(order).alias("_hi"), F.lit(n).cast("long").alias("_need")
+    wide = F.col(order).cast("decimal(20,0)")
+    same = lambda left, right: left[group].eqNullSafe(right["_group"])
+    cuts = df.filter(F.col(order).isNotNull()).groupBy(F.col(group).alias("_group")).agg(
+        F.min(wide).alias("_lo"), F.max(wide).alias("_hi"), F.lit(n).cast("long").alias("_need")
     )
-    while True:
-        width = F.greatest(F.lit(1).cast("long"), F.ceil((F.col("_hi") - F.col("_lo") + 1) / parts).cast("long"))
-        cuts = cuts.withColumn("_width", width)
-        slot = F.floor((F.col(order) - F.col("_lo")) / F.col("_width"))
+    hottest = None
+    while hottest is None or hottest > BOUNDARY_ROWS:
+        cuts = cuts.withColumn("_width", F.expr(f"((_hi - _lo) div {RANGES}) + 1"))
+        rows = df.select(group, wide.alias("_order"))
         counts = (
-            df.select(group, order)
-            .join(cuts, group)
-            .filter(F.col(order).between(F.col("_lo"), F.col("_hi")))
-            .groupBy(group, "_lo", "_hi", "_need", "_width", slot.alias("_slot"))
+            rows.join(cuts, same(rows, cuts))
+            .filter(F.col("_order").between(F.col("_lo"), F.col("_hi")))
+            .groupBy("_group", "_lo", "_hi", "_need", "_width", F.expr("(_order - _lo) div _width").alias("_slot"))
             .agg(F.count(F.lit(1)).alias("_rows"))
         )
-        running = Window.partitionBy(group).orderBy("_slot")
-        counts = counts.withColumn("_upto", F.sum("_rows").over(running))
-        last = F.max("_upto").over(Window.partitionBy(group))
-        found = (
-            counts.withColumn("_need", F.least("_need", last))
-            .filter((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_rows") < F.col("_need")))
-            .select(
-                group,
-                (F.col("_lo") + F.col("_slot") * F.col("_width")).alias("_lo"),
-                F.least("_hi", F.col("_lo") + (F.col("_slot") + 1) * F.col("_width") - 1).alias("_hi"),
-                (F.col("_need") - F.col("_upto") + F.col("_rows")).alias("_need"),
-                "_rows",
-            )
+        running = F.sum("_rows").over(Window.partitionBy("_group").orderBy("_slot"))
+        last = F.max("_upto").over(Window.partitionBy("_group"))
+        first = F.expr("cast(_lo + cast(_slot as decimal(20,0)) * cast(_width as decimal(20,0)) as decimal(20,0))")
+        counts = counts.withColumn("_upto", running).withColumn("_need", F.least("_need", last))
+        found = counts.filter((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_rows") < F.col("_need"))).select(
+            "_group",
+            first.alias("_lo"),
+            F.least("_hi", first + F.col("_width") - 1).cast("decimal(20,0)").alias("_hi"),
+            (F.col("_need") - F.col("_upto") + F.col("_rows")).alias("_need"),
+            "_rows",
         )
         cuts = staged(found, "cuts")
         hottest = cuts.agg(F.max("_rows")).first()[0] or 0
+        if cuts.filter((F.col("_rows") > BOUNDARY_ROWS) & (F.col("_lo") == F.col("_hi"))).limit(1).count():
+            raise ValueError(f"{order} is not unique: more than {BOUNDARY_ROWS} rows of a group share one value")
         cuts = cuts.drop("_rows")
-        if hottest <= BOUNDARY_ROWS:
-            break
-    marked = df.join(cuts, group)
-    below = marked.filter(F.col(order) < F.col("_lo"))
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    at_cut = (
-        marked.filter(F.col(order).between(F.col("_lo"), F.col("_hi")))
-        .withColumn("_rank", rank)
-        .filter(F.col("_rank") <= F.col("_need"))
+    marked = df.join(cuts, same(df, cuts))
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy(order))
+    at_cut = marked.filter(wide.between(F.col("_lo"), F.col("_hi"))).withColumn("_rank", rank)
+    kept = [F.col(c) for c in df.columns]
+    return marked.filter(wide < F.col("_lo")).select(*kept).unionByName(
+        at_cut.filter(F.col("_rank") <= F.col("_need")).select(*kept)
     )
-    return below.select(df.columns).unionByName(at_cut.select(df.columns))

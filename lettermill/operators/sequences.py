@@ -1,72 +1,106 @@
 """Fixed-length token sequences for causal training.
 
 The vocabulary size is a parameter, so the vocabulary is bounded whatever the
-corpus. Tokens are looked up by an Arrow dictionary kernel on whole batches;
-the alternative (explode, join, collect) would shuffle every token of the corpus.
+corpus. What it lacks is spelled out in bytes and white space is kept, so a
+sequence can be decoded to its text. Tokens are looked up by an Arrow dictionary
+kernel on whole batches; the alternative (explode, join, collect) would shuffle
+every token of the corpus.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettermill.functions.fixed_values import MAX_LENGTH
-from lettermill.functions.text import WORD, WS
-from lettermill.operators.chats import DEFAULT_TEMPLATE, TURNS_PER_ROW, ChatTemplate
+from lettermill.functions.text import WORD
+from lettermill.operators.chats import DEFAULT_TEMPLATE, ChatTemplate
+from lettermill.plans.levels import joined_in_levels
 
 VOCABULARY_SIZE = 32_000
 END_ID = 0  # also the padding
-UNKNOWN_ID = 1
-FIRST_ID = 2
-TOKEN = rf"(?U)<\|[a-z]+\|>|[{WORD}]+|[^{WORD}{WS}]"
-SLICES = 256
+FIRST_BYTE_ID = 1
+FIRST_ID = FIRST_BYTE_ID + 256
+TOKEN = rf"(?U)<\|[a-z]+\|>| ?[{WORD}]+|[^{WORD}]"
 
 
 def tokens(text: Column) -> Column:
-    """Chat marks, words and single other characters, in order."""
+    """Chat marks, words with the space before them, and single other characters: all of the text, in order."""
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
 def build_vocab(texts: DataFrame, text: str = "text", size: int = VOCABULARY_SIZE) -> DataFrame:
     """The ``size`` most frequent tokens with their ids; equal counts in token order.
 
-    The best of 256 slices first, so the last ranking sees 256 x ``size`` rows at most.
+    The best ``size`` are taken by every task from its rows and then from theirs,
+    so only they are numbered.
     """
     counts = (
         texts.select(F.explode(tokens(F.col(text))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_slice", F.pmod(F.xxhash64("token"), F.lit(SLICES)))
-    )
-    best = [F.desc("n"), F.col("token")]
-    in_slice = F.row_number().over(Window.partitionBy("_slice").orderBy(*best))
-    overall = F.row_number().over(Window.orderBy(*best))
-    return (
-        counts.withColumn("_rank", in_slice)
-        .filter(F.col("_rank") <= size)
-        .withColumn("_rank", overall)
-        .filter(F.col("_rank") <= size)
-        .select("token", "n", (F.col("_rank") + (FIRST_ID - 1)).cast("int").alias("token_id"))
     )
+    best = counts.orderBy(F.desc("n"), "token").limit(size)
+    rank = F.row_number().over(Window.orderBy(F.desc("n"), "token"))  # `size` rows
+    return best.select("token", "n", (rank + (FIRST_ID - 1)).cast("int").alias("token_id"))
+
+
+@lru_cache(maxsize=4)
+def _dictionary(words: tuple[str, ...]) -> pa.Array:
+    """One per worker process and vocabulary."""
+    return pa.array(words, pa.string())
 
 
 def token_lookup(vocab: DataFrame):
-    """UDF from token arrays to id arrays; the vocabulary travels with it."""
-    words = [r["token"] for r in vocab.orderBy("token_id").select("token").collect()]  # at most `size`
+    """UDF from token arrays to id arrays; the vocabulary travels with it.
+
+    A token outside the vocabulary gives one id for every byte of its UTF-8 form.
+    """
+    words = tuple(r["token"] for r in vocab.orderBy("token_id").select("token").collect())  # at most `size`
 
     @F.arrow_udf("array<int>")
     def lookup(batch: pa.Array) -> pa.Array:
-        known = pc.index_in(batch.flatten(), value_set=pa.array(words, pa.string()))
-        ids = pc.fill_null(pc.add(known, FIRST_ID), UNKNOWN_ID).cast(pa.int32())
+        flat = batch.flatten()
+        known = pc.index_in(flat, value_set=_dictionary(words))
+        ids = pc.fill_null(pc.add(known, FIRST_ID), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        counts = np.ones(len(ids), np.int64)
+        missing = np.flatnonzero(ids == 0)
+        spelled = [t.encode() for t in flat.take(pa.array(missing)).to_pylist()]
+        counts[missing] = [len(t) for t in spelled]
+        ids = np.repeat(ids, counts)
+        ids[ids == 0] = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64) + FIRST_BYTE_ID
         lengths = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-        offsets = pa.array([0, *lengths.cumsum().tolist()], pa.int32())
-        return pa.ListArray.from_arrays(offsets, ids)
+        bounds = np.append(0, np.cumsum(counts))[np.append(0, np.cumsum(lengths))]
+        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
 
     return lookup
 
 
+def token_decoder(vocab: DataFrame):
+    """UDF from id arrays back to the text; padding and ends are skipped, cut characters become U+FFFD."""
+    words = tuple(r["token"] for r in vocab.orderBy("token_id").select("token").collect())  # at most `size`
+
+    @F.arrow_udf("string")
+    def decode(batch: pa.Array) -> pa.Array:
+        parts = [b"", *[bytes([b]) for b in range(256)], *[w.encode() for w in words]]
+        return pa.array(
+            [None if ids is None else b"".join([parts[i] for i in ids]).decode("utf-8", "replace") for ids in batch.to_pylist()],
+            pa.string(),
+        )
+
+    return decode
+
+
+def decode_sequences(sequences: DataFrame, vocab: DataFrame, *keep: str, ids: str = "input_ids") -> DataFrame:
+    """Text of encoded sequences, up to the length they were cut to. Narrow: no shuffle."""
+    return sequences.select(*keep, token_decoder(vocab)(F.col(ids)).alias("text"))
+
+
 def pad(ids: Column, max_length: int) -> dict[str, Column]:
     """Fixed-length columns; labels keep the padding ids."""
     missing = F.lit(max_length) - F.size(ids)
@@ -78,6 +112,11 @@ def pad(ids: Column, max_length: int) -> dict[str, Column]:
     }
 
 
+def encode_ids(texts: DataFrame, vocab: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """All ids of every text as ``input_ids``, neither cut nor padded. Narrow: no shuffle."""
+    return texts.select(*keep, token_lookup(vocab)(tokens(F.coalesce(F.col(text), F.lit("")))).alias("input_ids"))
+
+
 def encode_sequences(
     texts: DataFrame,
     vocab: DataFrame,
@@ -85,9 +124,9 @@ def encode_sequences(
     text: str = "text",
     max_length: int = MAX_LENGTH,
 ) -> DataFrame:
-    """Truncate to ``max_length`` tokens, look up, pad right. Narrow: no shuffle."""
-    cut = F.slice(tokens(F.coalesce(F.col(text), F.lit(""))), 1, max_length)
-    ids = texts.select(*keep, token_lookup(vocab)(cut).alias("_ids"))
+    """Look up, truncate to ``max_length`` ids, pad right. Narrow: no shuffle."""
+    cut = F.slice(tokens(F.coalesce(F.col(text), F.lit(""))), 1, max_length)  # each token has one id at least
+    ids = texts.select(*keep, F.slice(token_lookup(vocab)(cut), 1, max_length).alias("_ids"))
     return ids.select(*keep, *[c.alias(n) for n, c in pad(F.col("_ids"), max_length).items()])
 
 
@@ -101,29 +140,14 @@ def encode_conversations(
 ) -> DataFrame:
     """Render and encode turn rows, one sequence per conversation; other columns go.
 
-    Neighbouring turns are joined and cut to ``max_length`` tokens, then
-    neighbouring pieces, until one piece is left. A group never holds more than
-    1,024 pieces, so the turns of an endless conversation are shared by many tasks.
-    ``keep`` columns must be constant in a conversation.
+    Every turn is encoded by itself; ids of neighbouring turns are joined in
+    levels and cut to ``max_length``, so only numbers are shuffled and the turns
+    of an endless conversation are shared by many tasks. ``keep`` columns must
+    be constant in a conversation.
     """
-    highest = turns.agg(F.max("turn")).first()[0] or 0
-    pieces = turns.select(
-        conv,
-        *keep,
-        F.col("turn").alias("_at"),
-        F.slice(tokens(template.turn(F.col("role"), F.coalesce(F.col("text"), F.lit("")))), 1, max_length).alias(
-            "_tokens"
-        ),
+    segments = tokens(template.turn(F.col("role"), F.col("text")))
+    ids = turns.select(
+        conv, *keep, "turn", F.slice(token_lookup(vocab)(F.slice(segments, 1, max_length)), 1, max_length).alias("_ids")
     )
-    while True:
-        pieces = (
-            pieces.groupBy(conv, *keep, F.expr(f"_at div {TURNS_PER_ROW}").alias("_at"))
-            .agg(F.sort_array(F.collect_list(F.struct("_at", "_tokens"))).alias("_joined"))
-            .withColumn("_tokens", F.slice(F.flatten(F.col("_joined._tokens")), 1, max_length))
-            .drop("_joined")
-        )
-        highest //= TURNS_PER_ROW
-        if highest == 0:
-            break
-    ids = pieces.select(conv, *keep, token_lookup(vocab)(F.col("_tokens")).alias("_ids"))
-    return ids.select(conv, *keep, *[c.alias(n) for n, c in pad(F.col("_ids"), max_length).items()])
+    joined = joined_in_levels(ids, [conv, *keep], "turn", "_ids", lambda parts: F.slice(F.flatten(parts), 1, max_length))
+    return joined.select(conv, *keep, *[c.alias(n) for n, c in pad(F.col("_ids"), max_length).items()])

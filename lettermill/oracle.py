@@ -11,7 +11,7 @@ import re
 from lettermill import views
 from lettermill.functions import fixed_values as fv
 from lettermill.functions import html as html_rules
-from lettermill.queries import BUDGETS, FIRST_PER_SOURCE
+from lettermill.queries import BUDGETS, FIRST_PER_SOURCE, LARGE_PER_SOURCE
 
 
 def _text(value: str) -> str:
@@ -27,7 +27,7 @@ def _list(values: list[str]) -> str:
 SPACE = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 HASH = "('0x' || left(md5({w}), 3))::int"
 WORDS = r"regexp_extract_all(lower({t}), '[\pL\pN_]+')"
-TOKENS = r"regexp_extract_all({t}, '<\|[a-z]+\|>|[\pL\pN_]+|[^\pL\pN_\s]')"
+TOKENS = r"regexp_extract_all({t}, '<\|[a-z]+\|>| ?[\pL\pN_]+|[^\pL\pN_]')"
 SIGN_OFF = "(?im)^\\s*(" + "|".join(fv.SIGN_OFFS) + ")[,\\s/].*$"
 
 
@@ -146,22 +146,28 @@ CTES = {
             <= cast(floor(count(*) over () * cast(0.9 as double)) as bigint)
             then 'train' else 'validation' end as split
         from to_split""",
+    "turns": views.TURNS,
     "turns_marked": """
         select *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) as segment
-        from conversations""",
+        from turns""",
     "chats": """
         select conv_id, string_agg(segment, '' order by turn) as chat from turns_marked group by 1""",
     "counts": f"""
         select token, count(*) as n from (select unnest({TOKENS.format(t='text')}) as token from to_count) group by 1""",
     "vocab": """
-        select token, n, cast(row_number() over (order by n desc, token) + 1 as int) as token_id
+        select token, n, cast(row_number() over (order by n desc, token) + 256 as int) as token_id
         from counts qualify row_number() over (order by n desc, token) <= 32000""",
     "token_rows": f"""
         select id, unnest(toks) as token, generate_subscripts(toks, 1) as pos
         from (select id, {TOKENS.format(t='text')} as toks from to_encode)""",
     "ids": f"""
-        select id, array_to_string(list(coalesce(token_id, 1) order by pos), ' ') as seen, count(*) as k
-        from token_rows left join vocab using (token) where pos <= {fv.MAX_LENGTH} group by 1""",
+        select id, array_to_string((list(code order by pos, k))[1:{fv.MAX_LENGTH}], ' ') as seen, least(count(*), {fv.MAX_LENGTH}) as k
+        from (
+          select id, pos, unnest(codes) as code, generate_subscripts(codes, 1) as k from (
+            select id, pos, case when token_id is not null then [token_id] else list_transform(
+              range(0, strlen(token)), lambda b: ('0x' || substr(hex(token), cast(2 * b + 1 as int), 2))::int + 1) end as codes
+            from token_rows left join vocab using (token) where pos <= {fv.MAX_LENGTH}))
+        group by 1""",
     "sequences": f"""
         select id, trim(coalesce(seen, '') || repeat(' 0', cast({fv.MAX_LENGTH} - coalesce(k, 0) as int))) as input_ids,
           trim(repeat('1 ', cast(coalesce(k, 0) as int)) || repeat('0 ', cast({fv.MAX_LENGTH} - coalesce(k, 0) as int))) as attention_mask
@@ -179,6 +185,7 @@ NEEDS = {
     "ok": ["judged", "best"],
     "prompts": ["emails"],
     "splits": ["to_split"],
+    "turns_marked": ["turns"],
     "chats": ["turns_marked"],
     "counts": ["to_count"],
     "vocab": ["counts"],
@@ -312,7 +319,7 @@ _PART_ROWS = [
     ("1, 2", 1, "'text/html'", "null", "page"),
     ("1", 2, "'text/plain'", "null", "body"),
     ("2", 2, "'text/plain'", "'attachment; filename=a.txt'", "'attached'"),
-    ("3", 1, "'text/plain'", "'attachment; filename=a.txt'", "'attached'"),
+    ("3", 1, "'text/plain'", "'attachment; filename=a.txt'", "quoted"),
 ]
 
 _CORPUS = f"""
@@ -439,6 +446,9 @@ ORACLE: dict[str, str] = {
     "head_per_source": f"""
         select source, doc_id, text from documents
         qualify row_number() over (partition by source order by doc_id) <= {FIRST_PER_SOURCE}""",
+    "head_per_source_large": f"""
+        select case when doc_id % 2 = 0 then source end as source, (doc_id - 500) * 9000000000001 as place, doc_id from documents
+        qualify row_number() over (partition by case when doc_id % 2 = 0 then source end order by doc_id) <= {LARGE_PER_SOURCE}""",
     "word_count": f"select doc_id, cast({_n_words('text')} as int) as n_words from documents",
     "lang_profile": f"""
         select lang, word, count(*) as n
@@ -466,10 +476,13 @@ ORACLE: dict[str, str] = {
         "prompts",
         **OK_ROWS,
     ),
-    "assistant_texts": """
-        select conv_id, cast(n as int) as turn, text from (
-          select *, row_number() over (partition by conv_id order by turn) - 1 as n from conversations)
+    "assistant_texts": _query("select conv_id, turn, text from turns where role = 'assistant'", "turns"),
+    "nested_assistant_texts": _query(
+        """select conv_id, cast(n as int) as turn, text from (
+          select *, row_number() over (partition by conv_id order by turn) - 1 as n from turns)
         where role = 'assistant'""",
+        "turns",
+    ),
     "ellipsize": f"""
         select doc_id, {_cut_text('text', fv.PHRASE_DISPLAY_CHARS)} as phrase,
           {_cut_text('text', fv.SAMPLE_DISPLAY_CHARS)} as sample from documents""",
@@ -538,9 +551,17 @@ ORACLE: dict[str, str] = {
         from documents""",
     "train_val_split": _query("select doc_id, split from splits", "splits", to_split="select doc_id from documents"),
     "render_chat": _query(
-        "select conv_id, cast(0 as bigint) as piece, chat, chat || '<|assistant|>' || chr(10) as chat_for_reply from chats",
+        "select conv_id, chat, chat || '<|assistant|>' || chr(10) as chat_for_reply from chats",
         "chats",
     ),
+    "render_chat_by_role": _query(
+        """select conv_id, chat, chat || ' ' as chat_for_reply from (
+          select conv_id, '<s>' || string_agg(case role when 'user' then '[INST] ' || text || ' [/INST]'
+            when 'assistant' then ' ' || text || '</s>' else '[' || role || '] ' || text || chr(10) end, '' order by turn) as chat
+          from turns group by 1)""",
+        "turns",
+    ),
+    "decode_sequences": "select doc_id, text from documents",
     "build_vocab": _query("select token, n, token_id from vocab", "vocab", **DOCUMENT_TOKENS),
     "encode_sequences": _query(
         "select id as doc_id, input_ids, attention_mask, input_ids as labels from sequences", "sequences", **DOCUMENT_TOKENS
@@ -550,7 +571,7 @@ ORACLE: dict[str, str] = {
         from sequences join splits on id = doc_id""",
         "sequences",
         "splits",
-        to_split="select distinct conv_id as doc_id from conversations",
+        to_split="select distinct conv_id as doc_id from turns",
         **CHAT_TOKENS,
     ),
     "training_budget": "\nunion all ".join(
@@ -565,7 +586,7 @@ ORACLE: dict[str, str] = {
           '<|user|>' || chr(10) || text || '<|end|>' || chr(10) || '<|assistant|>' || chr(10) as request, variant
         from conversations, (values ('base'), ('tuned')) v(variant) where role = 'user'""",
     "extract_reply": _query(
-        f"""select conv_id, cast(0 as bigint) as piece,
+        f"""select conv_id,
           case when contains(chat, 'assistant') then {_strip("string_split(chat, 'assistant')[-1]")} else chat end as reply
         from chats""",
         "chats",

@@ -25,7 +25,7 @@ from lettermill.operators import bodies, chats, examples, filtering, language, r
 from lettermill.plans.corpus import build_corpus
 from lettermill.session import scratch_path, staged
 from lettermill.sources import jsonl, mailbox
-from lettermill.views import emails, mail_records, parts, table
+from lettermill.views import emails, mail_records, parts, table, turns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,7 @@ BUDGETS = [
     (1, ACCUMULATION, 2, 1),
 ]
 FIRST_PER_SOURCE = 20
+LARGE_PER_SOURCE = 1_200
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +189,16 @@ def head_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filtering.first_n_per_group(rows, "source", "doc_id", FIRST_PER_SOURCE)
 
 
+def head_per_source_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A limit over 1,000, with half of the rows in the group without a source, and ids over the whole range of long."""
+    rows = _documents(spark, sf_dir).select(
+        F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("source"),
+        F.expr("(doc_id - 500) * 9000000000001").alias("place"),
+        "doc_id",
+    )
+    return filtering.first_n_per_group(rows, "source", "place", LARGE_PER_SOURCE)
+
+
 def words_per_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", word_count(F.col("text")).alias("n_words"))
 
@@ -243,7 +254,12 @@ def build_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def assistant_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = chats.nest_turns(_turns(spark, sf_dir))
+    said = turns(spark, sf_dir).filter(F.col("role") == "assistant")
+    return said.select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def nested_assistant_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = chats.nest_turns(turns(spark, sf_dir))
     return examples.assistant_texts(nested, ("conv_id",)).select("conv_id", "turn", "text")
 
 
@@ -346,7 +362,16 @@ def train_val_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def render_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chats.render_chat(_turns(spark, sf_dir))
+    return chats.render_chat(turns(spark, sf_dir))
+
+
+ROLE_TEMPLATE = chats.ChatTemplate(
+    turn_open="[{role}] ", turn_close="\n", begin="<s>", roles=(("user", "[INST] ", " [/INST]"), ("assistant", " ", "</s>"))
+)
+
+
+def render_chat_by_role(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.render_chat(turns(spark, sf_dir), ROLE_TEMPLATE)
 
 
 def build_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,12 +384,18 @@ def encode_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", _joined("input_ids"), _joined("attention_mask"), _joined("labels"))
 
 
+def decode_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    vocab = sequences.build_vocab(documents)
+    return sequences.decode_sequences(sequences.encode_ids(documents, vocab, "doc_id"), vocab, "doc_id")
+
+
 def encode_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _turns(spark, sf_dir)
-    label = splitting.split_label(turns.select("conv_id").distinct(), "conv_id")
-    marked = turns.withColumn("split", label)
+    said = turns(spark, sf_dir)
+    label = splitting.split_label(said.select("conv_id").distinct(), "conv_id")
+    marked = said.withColumn("split", label)
     vocab = sequences.build_vocab(
-        turns.select(chats.DEFAULT_TEMPLATE.turn(F.col("role"), F.col("text")).alias("text"))
+        said.select(chats.DEFAULT_TEMPLATE.turn(F.col("role"), F.col("text")).alias("text"))
     )
     encoded = sequences.encode_conversations(marked, vocab, "split")
     return encoded.select("conv_id", "split", _joined("input_ids"), _joined("attention_mask"), _joined("labels"))
@@ -380,8 +411,8 @@ def prompt_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rendered = chats.render_chat(_turns(spark, sf_dir))
-    return rendered.select("conv_id", "piece", chats.extract_reply(F.col("chat")).alias("reply"))
+    rendered = chats.render_chat(turns(spark, sf_dir))
+    return rendered.select("conv_id", chats.extract_reply(F.col("chat")).alias("reply"))
 
 
 def compare_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "reject_reasons": reject_reasons,
     "min_words": min_words,
     "head_per_source": head_per_source,
+    "head_per_source_large": head_per_source_large,
     "word_count": words_per_text,
     "lang_profile": lang_profile,
     "detect_language": detect_language,
@@ -445,6 +477,7 @@ QUERIES: dict[str, Query] = {
     "user_prompt": user_prompt,
     "build_examples": build_examples,
     "assistant_texts": assistant_texts,
+    "nested_assistant_texts": nested_assistant_texts,
     "ellipsize": cut_for_display,
     "processing_stats": processing_stats,
     "language_distribution": language_distribution,
@@ -465,8 +498,10 @@ QUERIES: dict[str, Query] = {
     "seeded_shuffle": seeded_shuffle,
     "train_val_split": train_val_split,
     "render_chat": render_chat,
+    "render_chat_by_role": render_chat_by_role,
     "build_vocab": build_vocab,
     "encode_sequences": encode_sequences,
+    "decode_sequences": decode_sequences,
     "encode_splits": encode_splits,
     "training_budget": training_budget,
     "prompt_grid": prompt_grid,

@@ -2,7 +2,8 @@
 
 The tables hold plain prose. ``EMAILS`` and ``PARTS`` add sign-offs, quotes,
 headers and part layouts to every row; the SQL text is valid in Spark and in
-DuckDB, so both sides of a check read the same rows. No row is left out.
+DuckDB, so both sides of a check read the same rows. Every row and the whole of
+its text is in; messages without a body are rows of their own, with ids from 1,000,000,000.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ select doc_id, source, lang,
     when 2 then concat('> quoted', chr(10), '| quoted too', chr(10), text, chr(10), '-- ', chr(10), 'Jan')
     when 3 then concat(text, chr(10), 'On 10 Feb 2023, at 11:49, Jan wrote:', chr(10), text)
     when 4 then concat('Hoi', chr(10), '***', chr(10), text, chr(10), 'Tel: 06-1234', chr(10), chr(10), chr(10), chr(10), '  done   now, don''t wait')
-    when 5 then ''
-    when 6 then concat('Thanks for all.', chr(10), 'See you')
+    when 5 then concat(text, chr(10), chr(10), 'Groeten,', chr(10), 'Jan')
+    when 6 then concat('Thanks for all.', chr(10), text)
     when 7 then concat('Hi  there', chr(10), chr(10), text, chr(10), 'Op ma 3 jan schreef Piet:', chr(10), '> x')
     when 8 then concat(text, chr(10), 'Thank you for your help, I''m pleased to hear it! Could you reply?', chr(10), '/ Regards')
     else concat('Hey Jan, it''s cool.', chr(10), text, chr(10), '---', chr(10), 'lost line', chr(10), 'Met vriendelijke groet, Jan')
   end as body
 from documents
+union all
+select 1000000000 + doc_id, source, lang, concat('Empty ', cast(doc_id as string)), 'nobody@example.com', '' from documents where doc_id % 10 = 5
 """
 
 # Layout of a message by doc_id % 5: HTML only, HTML then plain, plain then HTML,
@@ -38,9 +41,10 @@ from documents
 PARTS = """
 select * from (
   select d.doc_id as msg_id, d.doc_id % 5 <> 4 as multipart, 0 as part_no,
-    case d.doc_id % 5 when 2 then 'text/plain' when 3 then 'image/png' when 4 then 'text/plain' else 'text/html' end as content_type,
-    case when d.doc_id % 5 = 4 then 'attachment; filename=single.txt' end as disposition,
-    case when d.doc_id % 5 in (0, 1) then coalesce(p.html, concat('<p>', d.text, '</p>')) else d.text end as payload
+    case d.doc_id % 5 when 2 then 'text/plain' when 3 then 'image/png' else 'text/html' end as content_type,
+    case when d.doc_id % 5 = 4 then 'attachment; filename=single.html' end as disposition,
+    case when d.doc_id % 5 in (0, 1) then coalesce(p.html, concat('<p>', d.text, '</p>'))
+      when d.doc_id % 5 = 4 then concat(coalesce(p.html, ''), '<p>', d.text, '</p>') else d.text end as payload
   from documents d left join pages p on p.page_id = d.doc_id
   union all
   select d.doc_id, true, 1,
@@ -58,6 +62,13 @@ select * from (
 where content_type is not null
 """
 
+# All conversations, and one that strings all of their turns together.
+TURNS = """
+select conv_id, turn, role, text from conversations
+union all
+select -1, conv_id * 100000 + turn, role, text from conversations
+"""
+
 HTML_BODY = "<html><body><p>{}</p><p>see <a href=\"http://example.com\">this</a></p></body></html>"
 
 
@@ -74,11 +85,16 @@ def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(sql, documents=table(spark, sf_dir, "documents"), pages=table(spark, sf_dir, "pages"))
 
 
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql = TURNS.replace("from conversations", "from {conversations}")
+    return spark.sql(sql, conversations=table(spark, sf_dir, "conversations"))
+
+
 def mail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every e-mail as mailbox record text.
 
     By doc_id % 4: single plain part; HTML and base64 plain part; HTML part and
-    an attachment; attachment only.
+    an attachment; the body as an attachment only.
     """
     body = F.col("body")
     to_line = F.when(F.col("to_addr") != "", F.concat(F.lit("\nTo: "), F.col("to_addr"))).otherwise("")
@@ -93,7 +109,8 @@ def mail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Content-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: base64",
         F.base64(body.cast("binary")),
     )
-    attached = part("Content-Type: text/plain\nContent-Disposition: attachment; filename=a.txt", F.lit("attached"))
+    note = "Content-Type: text/plain; charset=utf-8\nContent-Disposition: attachment; filename=a.txt"
+    attached = part(note, F.lit("attached"))
     end = F.lit("--cut--")
     layout = F.col("doc_id") % 4
     kind = F.when(layout == 0, "Content-Type: text/plain; charset=utf-8").otherwise(
@@ -103,7 +120,7 @@ def mail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(layout == 0, body)
         .when(layout == 1, F.concat(html, encoded, end))
         .when(layout == 2, F.concat(html, attached, end))
-        .otherwise(F.concat(attached, end))
+        .otherwise(F.concat(part(note, body), end))
     )
     return emails(spark, sf_dir).select(
         F.concat("source", F.lit(".mbox")).alias("source"),

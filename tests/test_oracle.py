@@ -27,13 +27,12 @@ def test_query_equals_sql(spark, con, name):
 def test_entry_has_rows(spark):
     rows = contract.entry(spark).collect()
     assert {r["status"] for r in rows} == {"ok", "short", "empty"}
-    assert sum(r["n"] for r in rows) == 200
+    assert sum(r["n"] for r in rows) == 220
 
 
 def test_known_counts(spark):
     stats = contract.queries()["processing_stats"](spark, "/root/testdata/sf0.01").first()
-    assert (stats["processed"], stats["skipped_short"], stats["skipped_empty"]) == (762, 138, 100)
-    assert stats["total_words"] == 175276
-    assert stats["avg_words"] == 175276 / 762
+    assert (stats["processed"], stats["skipped_short"], stats["skipped_empty"]) == (851, 149, 100)
+    assert stats["avg_words"] == stats["total_words"] / 851
     order = contract.queries()["seeded_shuffle"](spark, "/root/testdata/sf0.01").orderBy("position").take(5)
     assert [r["doc_id"] for r in order] == [863, 630, 574, 742, 110]

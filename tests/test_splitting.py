@@ -71,17 +71,15 @@ def test_labelling_has_no_shuffle(spark):
 
 
 @pytest.mark.parametrize("n", [1, 5, 90, 5000])
-@pytest.mark.parametrize("two_stage", [True, False])
-def test_first_n_per_group(spark, monkeypatch, n, two_stage):
+@pytest.mark.parametrize("boundary", [1_000_000, 3])
+def test_first_n_per_group(spark, monkeypatch, n, boundary):
     from lettermill.operators import filtering
 
-    if not two_stage:
-        monkeypatch.setattr(filtering, "TWO_STAGE_ROWS", 0)
-        monkeypatch.setattr(filtering, "BOUNDARY_ROWS", 3)
-    # half of the rows in one source, unevenly spaced ids
+    monkeypatch.setattr(filtering, "BOUNDARY_ROWS", boundary)
+    # half of the rows without a source, ids unevenly spaced over all of long
     rows = spark.range(2000).select(
-        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 30).cast("string"))).alias("source"),
-        (F.col("id") * F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 2 == 1, F.concat(F.lit("s"), (F.col("id") % 30).cast("string"))).alias("source"),
+        F.expr("case id when 0 then -9223372036854775807 - 1 when 1998 then 9223372036854775807 else id * id end").alias("doc_id"),
     )
     expected = {}
     for r in rows.orderBy("doc_id").collect():
@@ -92,10 +90,13 @@ def test_first_n_per_group(spark, monkeypatch, n, two_stage):
     assert found == {k: v[:n] for k, v in expected.items()}
 
 
-def test_limit_prunes_before_each_shuffle(spark):
-    rows = spark.range(100).select((F.col("id") % 3).alias("source"), F.col("id").alias("doc_id"))
-    plan = first_n_per_group(rows, "source", "doc_id", 20)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 4  # partial and final, for slices and for groups
+def test_limit_by_an_order_that_is_not_unique(spark, monkeypatch):
+    from lettermill.operators import filtering
+
+    monkeypatch.setattr(filtering, "BOUNDARY_ROWS", 3)
+    rows = spark.range(100).select(F.lit("a").alias("source"), F.lit(7).alias("doc_id"))
+    with pytest.raises(ValueError, match="not unique"):
+        first_n_per_group(rows, "source", "doc_id", 5)
 
 
 def test_no_limit_keeps_all(spark):

@@ -9,6 +9,7 @@ from lettermill.functions.html import html_to_text, wrap_lines
 from lettermill.operators import chats, examples, language, reports, sequences, style
 from lettermill.operators.language import LanguageModel
 from lettermill.streaming.incremental import stream_examples, write_stream
+from lettermill.plans import levels
 from lettermill.views import emails, table
 
 DATA = "/root/testdata/sf0.01"
@@ -164,21 +165,37 @@ def test_chat_text(spark):
     assert rows[2]["chat"] == "<|user|>\n<|end|>\n"
 
 
-def test_long_conversation_goes_on_in_pieces(spark):
-    df = turns(spark, [(1, i, "user", str(i)) for i in range(25)])
-    rows = chats.nest_turns(df, turns_per_row=10).orderBy("piece").collect()
-    assert [m["content"] for r in rows for m in r["messages"]] == [str(i) for i in range(25)]
-    assert [len(r["messages"]) for r in rows] == [10, 10, 5]
+def test_a_long_conversation_is_one_row(spark, monkeypatch):
+    monkeypatch.setattr(levels, "FAN_IN", 4)
+    numbers = [i * 7 for i in range(60)]
+    df = turns(spark, [(1, i, "user" if i % 2 else None, str(i)) for i in reversed(numbers)] + [(2, 0, "user", "x"), (2, 5000, "user", "y")])
+    rows = {r["conv_id"]: r for r in chats.nest_turns(df).collect()}
+    assert [m["content"] for m in rows[1]["messages"]] == [str(i) for i in numbers]
+    assert [m["content"] for m in rows[2]["messages"]] == ["x", "y"]
+    texts = {r["conv_id"]: r for r in chats.render_chat(df).collect()}
+    assert texts[1]["chat"] == "".join(f"<|{'user' if i % 2 else ''}|>\n{i}<|end|>\n" for i in numbers)
+    assert texts[1]["chat_for_reply"] == texts[1]["chat"] + "<|assistant|>\n"
+
+
+def test_template_by_role(spark):
+    template = chats.ChatTemplate(begin="<s>", roles=(("user", "[I] ", " [/I]"), ("assistant", " ", "</s>")))
+    df = turns(spark, [(1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "a")])
+    row = chats.render_chat(df, template).first()
+    assert row["chat"] == "<s><|system|>\ns<|end|>\n[I] u [/I] a</s>" and row["chat_for_reply"] == row["chat"] + " "
 
 
 def test_sequences(texts, spark):
+    first, byte = sequences.FIRST_ID, sequences.FIRST_BYTE_ID
     vocab = sequences.build_vocab(texts(["b b a", "c ü ü ü"]), size=3)
-    assert [tuple(r) for r in vocab.orderBy("token_id").collect()] == [("ü", 3, 2), ("b", 2, 3), ("a", 1, 4)]
-    rows = sequences.encode_sequences(texts(["a b c", "", None, "ü ü ü ü ü a"]), vocab, "id", max_length=5).orderBy("id").collect()
-    assert [r["input_ids"] for r in rows] == [[4, 3, 1, 0, 0], [0] * 5, [0] * 5, [2] * 5]
-    assert [r["attention_mask"] for r in rows] == [[1, 1, 1, 0, 0], [0] * 5, [0] * 5, [1] * 5]
+    assert [tuple(r) for r in vocab.orderBy("token_id").collect()] == [(" ü", 3, first), (" a", 1, first + 1), (" b", 1, first + 2)]
+    rows = sequences.encode_sequences(texts(["a b", "", None, " ü ü é"]), vocab, "id", max_length=4).orderBy("id").collect()
+    assert [r["input_ids"] for r in rows] == [[byte + 97, first + 2, 0, 0], [0] * 4, [0] * 4, [first, first, byte + 32, byte + 0xC3]]
+    assert [r["attention_mask"] for r in rows] == [[1, 1, 0, 0], [0] * 4, [0] * 4, [1] * 4]
     assert all(r["labels"] == r["input_ids"] for r in rows)
     assert "Exchange" not in plan_of(sequences.encode_sequences(spark.read.parquet(f"{DATA}/documents.parquet"), vocab))
+    given = ["a  b\n\tc é漢 <|end|> 😀_x", "", " ü", "\u00a0 ok"]
+    decoded = sequences.decode_sequences(sequences.encode_ids(texts(given), vocab, "id"), vocab, "id").orderBy("id").collect()
+    assert [r["text"] for r in decoded] == given
 
 
 def test_encoding_turns_equals_encoding_the_rendered_chat(spark):
@@ -190,7 +207,7 @@ def test_encoding_turns_equals_encoding_the_rendered_chat(spark):
 
 
 def test_encoding_a_long_conversation(spark, monkeypatch):
-    monkeypatch.setattr(sequences, "TURNS_PER_ROW", 4)
+    monkeypatch.setattr(levels, "FAN_IN", 4)
     df = turns(spark, [(c, i * i, "user", f"w{i} x") for c in (1, 2) for i in range(30)])
     vocab = sequences.build_vocab(df)
     whole = sequences.encode_sequences(chats.render_chat(df), vocab, "conv_id", text="chat", max_length=50)

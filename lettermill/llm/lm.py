@@ -27,10 +27,11 @@ from lettermill.session import scratch_path
 
 START = np.uint64(0x5354415254000001)
 END = np.uint64(0x454E440000000001)
-FLUSH_TOKENS = 4_000_000  # tokens that a task counts before it sends them on
-SCORE_TOKENS = 1_000_000  # tokens whose hashes are looked up together
+FLUSH_TOKENS = 2_500_000  # tokens that a task counts before it sends them on
+SCORE_TOKENS = 500_000  # tokens whose hashes are looked up together
 SHARD_BYTES = 8 << 20  # text per shard of the model, about
 MAX_SHARD_BITS = 14
+HEADER = 512  # bytes that name the arrays of a file
 SALT = np.uint64(63)  # followers of one word are spread over so many shards and one
 
 
@@ -81,7 +82,7 @@ def _write(path: str, *arrays: np.ndarray) -> None:
     own = f"{path}.{uuid.uuid4().hex}"
     with open(own, "wb") as out:
         header = " ".join(f"{a.dtype.str}:{len(a)}" for a in arrays).encode()
-        out.write(header.ljust(256))
+        out.write(header.ljust(HEADER))
         for a in arrays:
             out.write(a.tobytes() + bytes(-a.nbytes % 8))
     os.replace(own, path)
@@ -93,8 +94,8 @@ def _mapped(path: str) -> tuple[np.ndarray, ...] | None:
     if not os.path.exists(path):
         return None
     data = np.memmap(path, np.uint8, "r")
-    at, out = 256, []
-    for part in bytes(data[:256]).decode().split():
+    at, out = HEADER, []
+    for part in bytes(data[:HEADER]).decode().split():
         kind, _, n = part.partition(":")
         size = int(n) * np.dtype(kind).itemsize
         out.append(data[at : at + size].view(kind))
@@ -102,8 +103,27 @@ def _mapped(path: str) -> tuple[np.ndarray, ...] | None:
     return tuple(out)
 
 
-def _small(values: np.ndarray) -> np.ndarray:
-    return values.astype(np.uint32) if not len(values) or values.max() < 1 << 32 else values.astype(np.uint64)
+SPLIT = (np.uint8, np.uint32, np.uint64)  # kinds of what ``_split`` returns
+
+
+def _split(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts in one byte each; 255 and more stand aside, with their places."""
+    at = np.flatnonzero(counts >= 255)
+    return np.minimum(counts, 255).astype(np.uint8), at.astype(np.uint32), counts[at].astype(np.uint64)
+
+
+def _joined(low: np.ndarray, at: np.ndarray, large: np.ndarray) -> np.ndarray:
+    counts = low.astype(np.int64)
+    counts[at] = large
+    return counts
+
+
+def _taken(low: np.ndarray, at: np.ndarray, large: np.ndarray, place: np.ndarray) -> np.ndarray:
+    counts = low[place].astype(np.int64)
+    aside = counts == 255
+    if aside.any():
+        counts[aside] = large[np.searchsorted(at, place[aside])]
+    return counts
 
 
 def shared_folder(spark, name: str) -> str:
@@ -150,8 +170,8 @@ class KneserNey:
                 continue
             place = np.minimum(np.searchsorted(arrays[0], hashes[at]), len(arrays[0]) - 1)
             known = arrays[0][place] == hashes[at]
-            for values, target in zip(arrays[1:], out):
-                target[at[known]] = values[place[known]]
+            for i, target in enumerate(out):
+                target[at[known]] = _taken(*arrays[1 + 3 * i : 4 + 3 * i], place[known])
         return out
 
     def log10(self, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -208,22 +228,21 @@ def fit(docs: DataFrame, text_col: str = "text") -> KneserNey:
     )
 
 
-def _summed(order: np.ndarray, fresh: np.ndarray, values: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values[order], np.flatnonzero(fresh)) if len(order) else values[:0]
-
-
-def _merged_pairs(v: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _merged_pairs(v: np.ndarray, w: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs in order, and how often each occurs (or the sum of ``n``)."""
     order = np.lexsort((w, v))
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = (v[order][1:] != v[order][:-1]) | (w[order][1:] != w[order][:-1])
-    heads = order[fresh]
-    return v[heads], w[heads], _summed(order, fresh, n)
+    v, w = v[order], w[order]
+    fresh = np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1]))[: len(v)]
+    heads = np.flatnonzero(fresh)
+    counts = np.diff(np.append(heads, len(v))) if n is None else np.add.reduceat(n[order], heads) if len(heads) else n[:0]
+    return v[heads], w[heads], counts
 
 
 def _pair_blocks(bits: int):
     def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         v, w = (np.concatenate(x) for x in zip(*held))
-        v, w, n = _merged_pairs(v, w, np.ones(len(v), np.int64))
+        held.clear()
+        v, w, n = _merged_pairs(v, w)
         shard = pair_shard(v, w, bits)
         order = np.argsort(shard, kind="stable")
         bounds = np.searchsorted(shard[order], np.arange((1 << bits) + 1))
@@ -232,9 +251,9 @@ def _pair_blocks(bits: int):
             at = order[bounds[s] : bounds[s + 1]]
             if len(at):
                 head = np.flatnonzero(np.append(True, v[at][1:] != v[at][:-1]))
-                runs = np.diff(np.append(head, len(at))).astype(np.uint32)
+                runs = np.diff(np.append(head, len(at)))
                 shards.append(s)
-                blocks.append(_pack(v[at][head], runs, w[at], n[at].astype(np.uint32)))
+                blocks.append(_pack(v[at][head], *_split(runs), w[at], *_split(n[at])))
         return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(blocks, pa.binary())], ["shard", "block"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +264,7 @@ def _pair_blocks(bits: int):
             size += len(after)
             if size >= FLUSH_TOKENS:
                 yield flush(held)
-                held, size = [], 0
+                size = 0
         if held:
             yield flush(held)
 
@@ -254,14 +273,14 @@ def _pair_blocks(bits: int):
 
 def _write_pairs(folder: str, bits: int):
     def write(group: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpack(b, np.uint64, np.uint32, np.uint64, np.uint32) for b in group["block"]]
+        parts = [_unpack(b, np.uint64, *SPLIT, np.uint64, *SPLIT) for b in group["block"]]
         v, w, n = _merged_pairs(
-            np.concatenate([np.repeat(p[0], p[1]) for p in parts]), np.concatenate([p[2] for p in parts]),
-            np.concatenate([p[3] for p in parts]).astype(np.int64),
+            np.concatenate([np.repeat(p[0], _joined(*p[1:4])) for p in parts]), np.concatenate([p[4] for p in parts]),
+            np.concatenate([_joined(*p[5:8]) for p in parts]),
         )
         keys = pair_key(v, w)
         order = np.argsort(keys)
-        _write(f"{folder}/pairs-{group['shard'].iloc[0]}", keys[order], _small(n[order]))
+        _write(f"{folder}/pairs-{group['shard'].iloc[0]}", keys[order], *_split(n[order]))
         words, at = np.unique(np.concatenate((w, v)), return_inverse=True)
         as_word, as_context = at[: len(w)], at[len(w) :]
         add = lambda where, weights: np.bincount(where, weights, len(words)).astype(np.int64)
@@ -272,7 +291,9 @@ def _write_pairs(folder: str, bits: int):
         found = [s for s in range(1 << bits) if bounds[s] < bounds[s + 1]]
         out = pd.DataFrame({
             "shard": found,
-            "block": [_pack(*[x[bounds[s] : bounds[s + 1]] for x in (words, *map(_stat, sums))]) for s in found],
+            "block": [
+                _pack(words[bounds[s] : bounds[s + 1]], *[a for x in sums for a in _split(x[bounds[s] : bounds[s + 1]])]) for s in found
+            ],
         })
         for i in range(1, 5):
             out[f"n{i}"] = 0
@@ -282,18 +303,15 @@ def _write_pairs(folder: str, bits: int):
     return write
 
 
-def _stat(values: np.ndarray) -> np.ndarray:
-    return values.astype(np.int64)
-
-
 def _write_words(folder: str):
     def write(group: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpack(b, np.uint64, *[np.int64] * 5) for b in group["block"]]
+        parts = [_unpack(b, np.uint64, *SPLIT * 5) for b in group["block"]]
         words = np.concatenate([p[0] for p in parts])
         order = np.argsort(words, kind="stable")
-        fresh = np.append(True, words[order][1:] != words[order][:-1])
-        sums = [_summed(order, fresh, np.concatenate([p[i] for p in parts])) for i in range(1, 6)]
-        _write(f"{folder}/words-{group['shard'].iloc[0]}", words[order][fresh], *map(_small, sums))
+        words = words[order]
+        heads = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+        sums = [np.add.reduceat(np.concatenate([_joined(*p[i : i + 3]) for p in parts])[order], heads) for i in range(1, 16, 3)]
+        _write(f"{folder}/words-{group['shard'].iloc[0]}", words[heads], *[a for x in sums for a in _split(x)])
         count, follows = sums[:2]
         row = {"types": int((count > 0).sum()), "tokens": int(count.sum()), "contexts": int(follows.sum())}
         row |= {f"w{i}": int((follows == i).sum()) for i in range(1, 5)} | {"more": int((follows >= 3).sum())}

@@ -31,7 +31,7 @@ _DELIMITER = rf"(?:(?:{_ANY_OF_DELIMITERS}){HS}*+$|{DELIMITER_PREFIX})"
 _REPLY_HEADER = (
     rf"(?:On [^\n]+wrote:?{HS}*$"
     rf"|Op [^\n]+schreef[^\n]*[^{WS}]"
-    r"|On \p{Nd}+[^\n]*at \p{Nd}+:)"
+    r"|On \p{Nd}++[^\n]*at \p{Nd}+:)"
 )
 
 # What makes a whole line go. Each matches from the start of the line to

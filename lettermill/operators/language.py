@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lettermill.functions.fixed_values import (
@@ -24,6 +24,8 @@ from lettermill.functions.text import contains_any, words
 
 HASH_DIGITS = 3  # hexadecimal digits of the word hash: 4,096 buckets
 PER_MILLION = 1_000_000
+ROWS_PER_LANGUAGE = 20_000  # labelled texts of a language that the model learns from, about
+MAX_LANGUAGES = 64
 
 
 def word_bucket(word: Column) -> Column:
@@ -47,7 +49,9 @@ def bucket_profile(labelled: DataFrame, text: str = "text", lang: str = "lang")
         .agg(F.sum("n").alias("n"))
     )
     total = F.sum("n").over(Window.partitionBy("lang"))  # at most 4,096 rows a language
-    return counts.select("lang", "bucket", F.floor(F.col("n") * PER_MILLION / total).cast("long").alias("score"))
+    return counts.select("lang", "bucket", (F.col("n") * PER_MILLION).alias("n"), total.alias("total")).select(
+        "lang", "bucket", F.expr("n div total").alias("score")
+    )
 
 
 @dataclass(frozen=True)
@@ -57,22 +61,54 @@ class LanguageModel:
     scores: dict[str, list[int]]
 
     @classmethod
-    def fit(cls, labelled: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
-        scores: dict[str, list[int]] = {}
-        for row in bucket_profile(labelled, text, lang).collect():  # languages x 4,096 at most
-            scores.setdefault(row["lang"], [0] * 16**HASH_DIGITS)[row["bucket"]] = row["score"]
+    def fit(
+        cls, labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = ROWS_PER_LANGUAGE
+    ) -> LanguageModel:
+        """Learn from about ``rows`` texts of each language, chosen by a hash of the text; all where there are fewer.
+
+        Rows without a text or a label are left out. Nothing to learn from is an
+        error, and so are more than ``MAX_LANGUAGES``, which bounds the model.
+        """
+        known = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
+        counts = known.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
+        if not 1 <= len(counts) <= MAX_LANGUAGES:
+            raise ValueError(f"{len(counts) or 'no'} labelled languages; 1 to {MAX_LANGUAGES} can be learned")
+        place = F.pmod(F.xxhash64(text), F.lit(PER_MILLION))
+        for row in counts:
+            if row["n"] > rows:
+                known = known.filter((F.col(lang) != row[0]) | (place < PER_MILLION * rows // row["n"]))
+        scores: dict[str, list[int]] = {row[0]: [0] * 16**HASH_DIGITS for row in counts}
+        for row in bucket_profile(known, text, lang).collect():  # languages x 4,096 at most
+            scores[row["lang"]][row["bucket"]] = row["score"]
         return cls(dict(sorted(scores.items())))
 
-    def with_language(self, df: DataFrame, text: str, out: str = "lang_detected") -> DataFrame:
-        """Best language of the first 500 characters; ties go to the first name."""
-        buckets = F.transform(words(F.left(F.col(text), F.lit(LANGUAGE_SAMPLE_CHARS))), word_bucket)
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the model as a small Parquet table."""
+        spark.createDataFrame(list(self.scores.items()), "lang string, scores array<bigint>").coalesce(1).write.parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LanguageModel:
+        rows = spark.read.parquet(path).collect()  # one row a language
+        return cls(dict(sorted((r["lang"], list(r["scores"])) for r in rows)))
+
+    def with_language(
+        self, df: DataFrame, text: str, out: str = "lang_detected", only: Column | None = None
+    ) -> DataFrame:
+        """Best language of the first 500 characters; ties go to the first name.
+
+        Rows where ``only`` does not hold are not scored and get NULL.
+        """
+        sample = F.left(F.col(text), F.lit(LANGUAGE_SAMPLE_CHARS))
+        buckets = F.transform(words(sample if only is None else F.when(only, sample)), word_bucket)
         names = {lang: f"_score_{i}" for i, lang in enumerate(self.scores)}
         scored = df.withColumn("_buckets", buckets).withColumns(
             {names[lang]: _total_score(F.col("_buckets"), values) for lang, values in self.scores.items()}
         )
         columns = [F.col(c) for c in names.values()]
         best = F.greatest(*columns) if len(columns) > 1 else columns[0]
-        pick = F.when(best <= 0, F.lit(UNKNOWN_LANGUAGE))
+        pick = F.when(best.isNull(), F.lit(None) if only is not None else F.lit(UNKNOWN_LANGUAGE)).when(
+            best <= 0, F.lit(UNKNOWN_LANGUAGE)
+        )
         for lang, name in names.items():
             pick = pick.when(F.col(name) == best, F.lit(lang))
         return scored.withColumn(out, pick).drop("_buckets", *names.values())

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lettermill.functions.fixed_values import SPLIT_SEED, TRAIN_RATIO
 from lettermill.plans.ranking import content_key, find_cut, seeded_key, with_position
+from lettermill.session import staged
 
+COPIES_PER_BLOCK = 65_536  # copies of the row at the cut that one task writes
 TRAIN = "train"
 VALIDATION = "validation"
 
@@ -38,21 +40,25 @@ def train_val_split(
 ) -> DataFrame:
     """Adds ``split``; exactly ``int(n * ratio)`` rows are train.
 
-    Rows without an id are ordered by a hash of their content, and copies of the
-    row at the cut are shared out.
+    Without an id column rows are ordered by a hash of their content, which is
+    computed for the key column once and for the labels once; copies of the row
+    at the cut are shared out. A NULL in the id column is an error.
     """
     if id_col:
         return df.withColumn("split", split_label(df, id_col, ratio, seed))
     key = content_key(seed, df)
-    cut = find_cut(df.select(key.alias("key")), ratio)
+    cut = find_cut(staged(df.select(key.alias("key")), "keys"), ratio)
     if cut.key is None:
         return df.withColumn("split", F.lit(TRAIN if cut.size else VALIDATION))
     if cut.take == cut.copies:
         return df.withColumn("split", F.when(key <= cut.key, TRAIN).otherwise(VALIDATION))
     others = df.filter(key != cut.key).withColumn("split", F.when(key < cut.key, TRAIN).otherwise(VALIDATION))
     # The copies are equal, so any `take` of them will do: count them out anew.
-    one = df.filter(key == cut.key).limit(1).withColumn("_k", F.lit(0))
-    copies = df.sparkSession.range(cut.copies).select(
-        F.when(F.col("id") < cut.take, TRAIN).otherwise(VALIDATION).alias("split"), F.lit(0).alias("_k")
-    )
-    return others.unionByName(copies.join(F.broadcast(one), "_k").select(*df.columns, "split"))
+    one = df.filter(key == cut.key).limit(1)
+    block = F.sequence(F.lit(0), F.lit((cut.copies - 1) // COPIES_PER_BLOCK))
+    blocks = one.withColumn("_block", F.explode(block)).repartition("_block")
+    first = F.col("_block") * COPIES_PER_BLOCK
+    last = F.least(first + COPIES_PER_BLOCK - 1, F.lit(cut.copies - 1))
+    copies = blocks.withColumn("_copy", F.explode(F.sequence(first, last)))
+    label = F.when(F.col("_copy") < cut.take, TRAIN).otherwise(VALIDATION)
+    return others.unionByName(copies.select(*df.columns, label.alias("split")))

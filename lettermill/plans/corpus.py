@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettermill.operators.bodies import header_projection, nested_body
@@ -13,7 +13,7 @@ from lettermill.operators.reports import processing_stats
 from lettermill.operators.splitting import train_val_split
 from lettermill.session import scratch_path, staged
 from lettermill.sources.jsonl import write_examples
-from lettermill.sources.mailbox import stage_messages, with_message_index
+from lettermill.sources.mailbox import check_mailboxes, read_messages, stage_messages, with_message_index
 
 PLACE = ("source", "file", "block_start", "pos")  # order of a message, without an index
 JUDGED_COLUMNS = (*PLACE, "subject", "to_addr", "clean", "n_words", "status", "language")
@@ -22,7 +22,16 @@ JUDGED_COLUMNS = (*PLACE, "subject", "to_addr", "clean", "n_words", "status", "l
 def judge_messages(messages: DataFrame, model: LanguageModel) -> DataFrame:
     """Parsed messages to one judged row each: a single narrow projection."""
     judged = with_status(nested_body(header_projection(messages)))
-    return model.with_language(judged, "clean").withColumn("language", map_language(F.col("lang_detected")))
+    accepted = F.col("status") == "ok"
+    detected = model.with_language(judged, "clean", only=accepted)
+    return detected.withColumn("language", F.when(accepted, map_language(F.col("lang_detected"))))
+
+
+def mailbox_key(source: Column) -> Column:
+    """Short name of a mailbox for its output folder: its stem, and a digest of the whole path."""
+    stem = F.regexp_replace(F.regexp_extract(source, r"([^/]*)$", 1), r"\.mbox$", "")
+    short = F.left(F.regexp_replace(stem, r"[^\p{L}\p{N}._-]+", "_"), F.lit(60))
+    return F.concat(short, F.lit("-"), F.left(F.md5(source.cast("binary")), F.lit(8)))
 
 
 def build_corpus(
@@ -33,19 +42,25 @@ def build_corpus(
     limit: int | None = None,
     any_name: bool = False,
 ) -> DataFrame:
-    """Mailboxes to ``output/source=.../*.json``; returns the run counters.
+    """Mailboxes to ``output/mailbox=.../*.json``; returns the run counters.
 
-    Two tables are written: parsed messages, and judged messages. Counters, the
-    language report and the corpus all read the second one, so nothing expensive
-    runs twice and a lost executor repeats one stage only.
+    Judged messages are written once; counters, the language report and the
+    corpus read that table, so nothing expensive runs twice and a lost executor
+    repeats one stage only. With a ``limit`` parsed messages are written first,
+    because their places in the mailbox are counted. ``output/_mailboxes``
+    holds the whole path of every mailbox name. No mailbox at all is an error.
     """
-    messages = stage_messages(spark, mailboxes, scratch_path(spark, "messages"), limit, any_name)
+    check_mailboxes(spark, mailboxes, any_name)
     if limit:
+        messages = stage_messages(spark, mailboxes, scratch_path(spark, "messages"), limit, any_name)
         messages = with_message_index(messages, limit)
+    else:
+        messages = read_messages(spark, mailboxes, any_name=any_name)
     judged = staged(judge_messages(messages, model).select(*JUDGED_COLUMNS), "judged")
-    write_examples(
-        build_examples(judged.filter(F.col("status") == "ok"), keep=("source",)), output, by="source"
-    )
+    named = judged.filter(F.col("status") == "ok").withColumn("mailbox", mailbox_key(F.col("source")))
+    write_examples(build_examples(named, keep=("mailbox",)), output, by="mailbox")
+    boxes = judged.select("source").distinct().withColumn("mailbox", mailbox_key(F.col("source")))
+    boxes.write.parquet(f"{output.rstrip('/')}/_mailboxes")
     return processing_stats(judged)
 
 

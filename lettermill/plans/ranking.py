@@ -43,7 +43,10 @@ def find_cut(keys: DataFrame, ratio: float) -> Cut:
     Three scans of the key column at most; each brings back one row.
     """
     first = _histogram(keys, F.left("key", F.lit(PREFIX)))
-    total = first.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    nulls = F.sum(F.when(F.col("bucket").isNull(), F.col("rows")))
+    total, missing = first.agg(F.coalesce(F.sum("rows"), F.lit(0)), nulls).first()
+    if missing:
+        raise ValueError(f"{missing} rows have a NULL id")
     size = int(total * ratio)
     if size == 0 or size == total:
         return Cut(total, size, None, 0, 0)

@@ -433,8 +433,8 @@ def style_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def usable_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many e-mails are usable in each language, and why were the others not?"""
-    judged = _model(spark, sf_dir).with_language(_judged(spark, sf_dir), "clean")
     accepted = F.col("status") == "ok"
+    judged = _model(spark, sf_dir).with_language(_judged(spark, sf_dir), "clean", only=accepted)
     return (
         judged.withColumn("language", F.when(accepted, language.map_language(F.col("lang_detected"))))
         .groupBy("status", "language")

@@ -5,6 +5,7 @@ On a cluster the caller owns the session; the library only reads from it.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -34,14 +35,34 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="lettermill-")
 
 
+@lru_cache(maxsize=8)
+def _run_folder(root: str) -> str:
+    """Folder of this run below ``root``; it goes when the program ends."""
+    folder = f"{root.rstrip('/')}/lettermill/run-{uuid.uuid4().hex}"
+    atexit.register(_drop, folder)
+    return folder
+
+
+def _drop(folder: str) -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New path below the folder that the session names in spark.checkpoint.dir.
 
-    All executors must see it. Only where the setting is absent (single-machine
-    tests) a temporary folder is made.
+    All executors must see it. Only where the setting is absent and the master
+    is local (single-machine tests) a temporary folder is made; on a cluster a
+    missing setting is an error, because every machine would write to its own disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    return f"{root.rstrip('/')}/lettermill/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _own_folder()
+    return f"{_run_folder(root)}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ and its place there. No global sort is needed to keep it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from email import message_from_bytes
 from email.message import Message
@@ -36,10 +37,38 @@ MESSAGE_SCHEMA = """
 
 
 def _source(file: Column) -> Column:
-    """The mailbox a file belongs to: the file itself, or its folder ``X.mbox``."""
+    """The mailbox a file belongs to: the file itself, or its folder ``X.mbox``. ``file`` is a plain path."""
     return F.regexp_replace(file, FOLDER_MEMBER, "")
 
 
+def _plain_path(uri: Column) -> Column:
+    """Path of a file's address with its characters as they are; ``+`` stands for itself."""
+    return F.regexp_replace(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+
+
+def check_mailboxes(spark: SparkSession, path: str, any_name: bool = False) -> None:
+    """Raise where there is nothing to read, or where a mailbox would be passed over.
+
+    Spark's readers skip names that begin with ``_`` or ``.``; losing such a
+    mailbox in silence is worse than asking for another name.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    start, found, hidden = root.toUri().getPath().rstrip("/"), 0, []
+    while files.hasNext():
+        name = files.next().getPath().toUri().getPath()
+        inside = name[len(start) :]
+        if any_name or re.search(MAILBOX_FILE, name):
+            found += 1
+            if re.search(r"(^|/)[_.]", inside or name.rsplit("/", 1)[-1]):
+                hidden.append(name)
+    if hidden:
+        raise ValueError(f"{len(hidden)} mailboxes have names that Spark skips; rename: {', '.join(hidden[:5])}")
+    if not found:
+        raise FileNotFoundError(f"no mailbox below {path}")
+
+
 def find_mailboxes(spark: SparkSession, path: str) -> DataFrame:
     """Mailbox files below ``path``, each once, with their size; contents are not read."""
     files = (
@@ -48,7 +77,8 @@ def find_mailboxes(spark: SparkSession, path: str) -> DataFrame:
         .option("pathGlobFilter", FILE_NAMES)
         .load(path)
     )
-    return files.select(_source(F.col("path")).alias("source"), F.col("path").alias("file"), "length").filter(
+    path_name = F.regexp_replace("path", "^file:/+", "file:/")  # this reader gives it unescaped
+    return files.select(_source(path_name).alias("source"), path_name.alias("file"), "length").filter(
         F.col("file").rlike(MAILBOX_FILE)
     )
 
@@ -61,7 +91,7 @@ def scan_mailboxes(spark: SparkSession, path: str, any_name: bool = False) -> Da
     reader = spark.read.option("lineSep", SEPARATOR).option("recursiveFileLookup", "true")
     if not any_name:
         reader = reader.option("pathGlobFilter", FILE_NAMES)
-    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    file, start = _plain_path(F.col("_metadata.file_path")), F.col("_metadata.file_block_start")
     records = reader.text(path).select(
         _source(file).alias("source"),
         file.alias("file"),

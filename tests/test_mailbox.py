@@ -165,12 +165,41 @@ def test_corpus_keeps_every_mailbox_apart(spark, tmp_path):
     stats = build_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out"), model).first()
     assert (stats["total"], stats["processed"], stats["skipped_short"]) == (12, 10, 2)
     corpus = read_examples(spark, str(tmp_path / "out"))
-    assert {r[0].rsplit("/", 1)[-1]: r[1] for r in corpus.groupBy("source").count().collect()} == {"A.mbox": 5, "B.mbox": 5}
+    assert {r[0].rsplit("-", 1)[0]: r[1] for r in corpus.groupBy("mailbox").count().collect()} == {"A": 5, "B": 5}
+    names = spark.read.parquet(str(tmp_path / "out" / "_mailboxes")).collect()
+    assert {r["source"].rsplit("/", 1)[-1] for r in names} == {"A.mbox", "B.mbox"}
     assert {r[0] for r in corpus.select("metadata.language").collect()} == {"en"}
     limited = build_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out2"), model, limit=2).first()
     assert (limited["total"], limited["processed"]) == (4, 4)
 
 
+def test_long_paths_spaces_and_one_form_of_names(spark, tmp_path):
+    words = "one two three four five six seven eight nine ten"
+    box = tmp_path / ("long folder é+%" * 12) / "All mail.mbox"
+    write(box, [single("one", words)])
+    model = LanguageModel.fit(spark.createDataFrame([(words, "en")], "text string, lang string"))
+    found = source.find_mailboxes(spark, str(tmp_path)).first()
+    assert found["source"] == found["file"] == f"file:{box}"
+    assert source.read_messages(spark, str(tmp_path)).first()["source"] == found["source"]
+    assert build_corpus(spark, str(tmp_path), str(tmp_path / "out"), model).first()["processed"] == 1
+    assert read_examples(spark, str(tmp_path / "out")).first()["mailbox"].startswith("All_mail-")
+
+
+@pytest.mark.parametrize("name", ["_Sent.mbox", ".Sent.mbox/mbox", "_Archive.mbox/mbox"])
+def test_mailboxes_that_spark_skips_are_an_error(spark, tmp_path, name):
+    write(tmp_path / "in" / "a.mbox", [single("a", "b")])
+    source.check_mailboxes(spark, str(tmp_path / "in"))
+    write(tmp_path / "in" / name, [single("a", "b")])
+    with pytest.raises(ValueError, match="Sent|Archive"):
+        source.check_mailboxes(spark, str(tmp_path / "in"))
+
+
+def test_no_mailbox_is_an_error(spark, tmp_path):
+    (tmp_path / "x.txt").write_text("x")
+    with pytest.raises(FileNotFoundError):
+        source.check_mailboxes(spark, str(tmp_path))
+
+
 def test_judging_is_one_projection(spark, tmp_path):
     model = LanguageModel.fit(spark.createDataFrame([("a b", "en")], "text string, lang string"))
     empty = spark.createDataFrame([], source.MESSAGE_SCHEMA)

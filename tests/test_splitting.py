@@ -53,6 +53,13 @@ def test_rows_without_id_and_with_many_copies(spark):
         assert sum(r["count"] for r in found) == 600
 
 
+def test_null_ids_are_an_error(spark):
+    rows = spark.range(100).select(F.when(F.col("id") >= 20, F.col("id")).alias("id"))
+    for ratio in (0.1, 0.9):
+        with pytest.raises(ValueError, match="20 rows have a NULL id"):
+            train_val_split(rows, "id", ratio)
+
+
 def test_ids_must_be_unique_at_the_cut(spark):
     with pytest.raises(ValueError, match="not unique"):
         train_val_split(spark.createDataFrame([(1,)] * 10, "doc_id long"), "doc_id", 0.5)

@@ -75,6 +75,18 @@ def test_language_rules(spark, texts):
     assert "Exchange" not in plan_of(model.with_language(spark.read.parquet(f"{DATA}/documents.parquet"), "text"))
 
 
+def test_language_model_is_kept_and_bounded(spark, texts, tmp_path):
+    rows = [("the cat", "en")] * 50 + [("de kat", "nl"), (None, "nl"), ("x", None)]
+    model = LanguageModel.fit(spark.createDataFrame(rows, "text string, lang string"))
+    model.save(spark, str(tmp_path / "model"))
+    assert LanguageModel.load(spark, str(tmp_path / "model")) == model and set(model.scores) == {"en", "nl"}
+    found = model.with_language(texts(["de kat", "the cat"]), "text", only=F.col("id") == 0).orderBy("id").collect()
+    assert [r["lang_detected"] for r in found] == ["nl", None]
+    for empty in ([], [("x", None)]):
+        with pytest.raises(ValueError, match="no labelled"):
+            LanguageModel.fit(spark.createDataFrame(empty, "text string, lang string"))
+
+
 def test_language_ties_go_to_the_first_name(spark, texts):
     model = LanguageModel.fit(spark.createDataFrame([("a", "nl"), ("a", "en")], "text string, lang string"))
     assert model.with_language(texts(["a"]), "text").first()["lang_detected"] == "en"

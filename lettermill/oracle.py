@@ -10,7 +10,6 @@ import re
 
 from lettermill import views
 from lettermill.functions import fixed_values as fv
-from lettermill.functions import html as html_rules
 from lettermill.queries import BUDGETS, FIRST_PER_SOURCE, LARGE_PER_SOURCE
 
 
@@ -24,6 +23,7 @@ def _list(values: list[str]) -> str:
     return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
 
 
+LINE_WRAP = r"([^\n]{1,78}|[^ \n]+)(?: +|\n|$)"
 SPACE = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 HASH = "('0x' || left(md5({w}), 3))::int"
 WORDS = r"regexp_extract_all(lower({t}), '[\pL\pN_]+')"
@@ -75,19 +75,40 @@ def _normal(x: str) -> str:
     return _strip(f"regexp_replace({breaks}, ' {{2,}}', ' ', 'g')")
 
 
+# The pages at hand have no comment, script or head without an end, no unquoted address and no ``pre``.
+_TAGS = [
+    ("(?is)<!--.*?-->|<head\\b.*?</head>|<script\\b.*?</script>|<style\\b.*?</style>|<img\\b[^>]*>", ""),
+    ("[ \\t\\r\\n\\f]+", " "),
+    ("(?i)<a\\b[^>]*?\\bhref\\s*=\\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>", "[\\2](\\1)"),
+    ("(?i)</?(?:b|strong)(?:\\s[^>]*)?>", "**"),
+    ("(?i)</?(?:i|em)(?:\\s[^>]*)?>", "_"),
+    *[(f"(?i)<h{n}\\b[^>]*>", chr(10) + "#" * n + " ") for n in range(1, 7)],
+    ("(?i)<li\\b[^>]*>", chr(10) + "\x0f* "),
+    (
+        "(?i)</?(?:p|div|br|h[1-6]|ul|ol|li|table|tr|td|th|section|article|header|footer|nav|aside|main|hr|form)\\b[^>]*>",
+        chr(10),
+    ),
+    ("<[a-zA-Z/!?][^>]*>", ""),
+]
+_ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "(C)"), ("&middot;", "*"),
+    ("&amp;", "&"),
+]
+
+
 def _html(x: str) -> str:
-    for pattern, to in html_rules.REWRITES:
-        to = re.sub(r"\$(\d)", r"\\\1", to)
+    for pattern, to in _TAGS:
         x = f"regexp_replace({x}, {_text(pattern)}, {_text(to)}, 'g')"
-    for entity, to in html_rules.ENTITIES:
+    for entity, to in _ENTITIES:
         x = f"replace({x}, {_text(entity)}, {_text(to)})"
-    x = f"regexp_replace({x}, '{html_rules.LINE_EDGES}', chr(10), 'g')"
-    return _strip(f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')")
+    x = f"regexp_replace({x}, '[ \\t]*\\n[ \\t]*', chr(10), 'g')"
+    x = f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+    return _strip(f"replace({x}, chr(15), '  ')")
 
 
 def _html_body(x: str) -> str:
     """HTML body, wrapped the way the reader must wrap it."""
-    return _strip(f"regexp_replace({_html(x)}, '{html_rules.LINE_WRAP}', '\\1' || chr(10), 'g')")
+    return _strip(f"regexp_replace({_html(x)}, '{LINE_WRAP}', '\\1' || chr(10), 'g')")
 
 
 def _hits(x: str, needles: list[str]) -> str:

@@ -35,12 +35,31 @@ def plan_of(df):
         ("a<blockquote><p>q</p><p>r</p></blockquote>b", "a\n> q\n> \n> r\nb"),
         ("<blockquote>q<blockquote>r</blockquote>s</blockquote>b", "> q\n> > r\n> s\nb"),
         ("a</blockquote>b", "a\nb"),
+        ("caf&eacute; it&#8217;s &#x20AC;5 &hellip; &euro; &notanentity; &; a&b &#xD800; &#0;", "café it’s €5 … € &notanentity; &; a&b \ufffd \ufffd"),
+        ("1 < 2 and 3 > 2 <3 a<b>c</b>", "1 < 2 and 3 > 2 <3 a**c**"),
+        ("<p>one\n two\r\n\tthree</p>", "one two three"),
+        ("<a href=http://e.com/x>t</a> <A HREF='q'>u</A> <a href=y>open <a name=z>n</a>", "[t](http://e.com/x) [u](q) [open n](y)"),
+        ("<h1>Top</h1><h3 class=x>Sub</h3>t<ul><li>a<li>b</ul>c", "# Top\n\n### Sub\nt\n\n  * a\n  * b\nc"),
+        ("a<pre>  x\n   y</pre>b <!-- c --> d --> e <!-- open", "a\nx\n   y\nb d --> e <!-- open"),
+        ("<script>x<script>y</script>z<style>s", "zs"),
+        ("&lt;b&gt; &amp;eacute;", "<b> &eacute;"),
     ],
 )
 def test_html_to_text(texts, html, expected):
     assert texts([html]).select(html_to_text(F.col("text"))).first()[0] == expected
 
 
+@pytest.mark.parametrize("piece", ["<a href='x'>", "<!--", "<script>", "<b ", " ", "&", "&#", "<", "</a>", "\n ", "<li>", "<head>", "-->"])
+def test_html_is_linear(texts, piece):
+    import time
+
+    df = texts([piece * (1_000_000 // len(piece))]).select(F.length(html_to_text(F.col("text"))))
+    texts(["<p>a</p>"]).select(html_to_text(F.col("text"))).collect()
+    start = time.perf_counter()
+    df.collect()
+    assert time.perf_counter() - start < 20
+
+
 def test_wrapping_equals_the_standard_library(texts):
     import random
     import textwrap

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.functions.text import strip
-from lettermill.operators.style import style_totals
+from lettermill.functions.cleaning import cut_signature
+from lettermill.functions.fixed_values import COMPARISON_PROMPTS
+from lettermill.functions.text import strip, word_count
+from lettermill.operators.style import style_totals, written
 from lettermill.plans.levels import joined_in_levels
 
 VARIANTS = ("base", "tuned")
@@ -74,6 +76,11 @@ def extract_reply(response: Column) -> Column:
     return F.when(marked, strip(F.substring_index(response, "assistant", -1))).otherwise(response)
 
 
+def default_prompts(spark: SparkSession) -> DataFrame:
+    """The prompts that variants are compared on where no others are given."""
+    return spark.createDataFrame(list(enumerate(COMPARISON_PROMPTS)), "prompt_id int, prompt string")
+
+
 def prompt_grid(
     prompts: DataFrame,
     prompt: str = "prompt",
@@ -102,7 +109,11 @@ def compare_responses(
 
 
 def style_delta(df: DataFrame, cohort: str, left: str, right: str, text: str = "text") -> DataFrame:
-    """Style measures of two cohorts side by side, and right minus left."""
+    """Style measures of two cohorts side by side, and right minus left.
+
+    Numbers of words and phrases, punctuation, languages, sentences and their
+    length, and how many texts close with a sign-off.
+    """
     metrics = [
         "texts", "avg_words", "min_words", "max_words", "contractions", "formal", "casual",
         "exclamations", "questions", "avg_exclamations", "avg_questions",
@@ -117,6 +128,17 @@ def style_delta(df: DataFrame, cohort: str, left: str, right: str, text: str = "
             )
         ),
     )
+    body = F.col(text)
+    closing = written(pair, text).select(
+        F.col(cohort).alias("_cohort"),
+        F.regexp_count(body, F.lit("[.!?]+")).alias("sentences"),
+        word_count(body).alias("words"),
+        (cut_signature(body) != body).alias("signed"),
+    ).groupBy("_cohort").agg(F.sum("sentences").alias("s"), F.sum("words").alias("w"), F.count_if("signed").alias("c"))
+    more = {"sentences": F.col("s"), "avg_sentence_words": F.try_divide(F.col("w"), F.col("s")), "sign_offs": F.col("c")}
+    long = long.unionByName(closing.select("_cohort", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), c.cast("double").alias("value")) for m, c in more.items()
+    ]))))
     sides = long.groupBy("metric").agg(
         F.max(F.when(F.col("_cohort") == left, F.col("value"))).alias("left_value"),
         F.max(F.when(F.col("_cohort") == right, F.col("value"))).alias("right_value"),

@@ -245,6 +245,20 @@ def _top_items(df: DataFrame, groups: tuple[str, ...], text: str) -> DataFrame:
     )
 
 
+def full_style_report(df: DataFrame, id_col: str, text: str = "text") -> DataFrame:
+    """``style_report`` with the number of all texts, blank ones included, and the sample section.
+
+    A sample row has the cut text as item and the id as value.
+    """
+    total = df.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+        F.lit("count").alias("section"), F.lit("all_texts").alias("item"), "value"
+    )
+    sample = sample_texts(df, id_col, text).select(
+        F.lit("sample").alias("section"), F.col("sample").alias("item"), F.col(id_col).cast("double").alias("value")
+    )
+    return style_report(df, text=text).unionByName(total).unionByName(sample)
+
+
 def style_report(df: DataFrame, *groups: str, text: str = "text") -> DataFrame:
     """The whole report as ``(section, item, value)`` rows, per group if asked."""
     sections = {

@@ -379,6 +379,9 @@ _DELTA = {
     "questions": f"sum({_hits('body', ['?'])})",
     "avg_exclamations": f"sum({_hits('body', ['!'])}) / cast(count(*) as double)",
     "avg_questions": f"sum({_hits('body', ['?'])}) / cast(count(*) as double)",
+    "sentences": "sum(len(regexp_extract_all(body, '[.!?]+')))",
+    "avg_sentence_words": "sum(w) / cast(nullif(sum(len(regexp_extract_all(body, '[.!?]+'))), 0) as double)",
+    "sign_offs": f"count(*) filter ({CUT.format(t='body')} <> body)",
     "dutch": f"count(*) filter ({_any('body', fv.DUTCH_INDICATORS)})",
     "english": f"count(*) filter ({_any('body', fv.ENGLISH_INDICATORS)})",
     "dutch_percent": f"count(*) filter ({_any('body', fv.DUTCH_INDICATORS)}) / cast(count(*) as double) * 100.0::double",
@@ -555,6 +558,14 @@ ORACLE: dict[str, str] = {
         select role, count(*) as texts, count(*) filter ({_strip('text')} <> '') as non_blank
         from conversations group by 1""",
     "style_report": _report("emails", "body"),
+    "full_style_report": f"""
+        select * from ({_report("emails", "body")})
+        union all select 'count', 'all_texts', cast(count(*) as double) from ({views.EMAILS})
+        union all select 'sample', {_cut_text('body', fv.SAMPLE_DISPLAY_CHARS)}, cast(doc_id as double) from (
+          select * from (
+            select doc_id, {_strip('body')} as body from ({views.EMAILS}) where {_strip('body')} <> ''
+            order by doc_id limit {fv.SAMPLE_POOL})
+          order by md5('42-' || cast(doc_id as string)), doc_id limit {fv.SAMPLE_SIZE})""",
     "style_report_by_source": _report("documents", "text", "source"),
     "top_openings": _top_phrases("1"),
     "top_closings": _top_phrases("-1"),

@@ -343,6 +343,10 @@ def style_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style.style_report(emails(spark, sf_dir), text="body")
 
 
+def full_style_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style.full_style_report(emails(spark, sf_dir), "doc_id", text="body")
+
+
 def style_report_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style.style_report(_documents(spark, sf_dir), "source")
 
@@ -490,6 +494,7 @@ QUERIES: dict[str, Query] = {
     "punctuation_stats": punctuation_stats,
     "text_counts": text_counts,
     "style_report": style_report,
+    "full_style_report": full_style_report,
     "style_report_by_source": style_report_by_source,
     "top_openings": top_openings,
     "top_closings": top_closings,

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.llm.components import LocalGroups, components
+from lettermill.plans.joins import checked_join
 from lettermill.session import staged
 
 MIN_COSINE = 0.95
@@ -22,6 +23,7 @@ MISS = 0.05  # tables are added until a pair at the threshold misses all of them
 RADIUS = 1  # differing bits of a key within which a table finds a pair
 MAX_DIFFERENT = 0.3  # share of differing code bits beyond which a candidate is not reranked
 SHARD_VECTORS = 4_096  # members of one part of a table, on average
+HOT_PART = 16_384  # members of a part that one task compares; a fuller part is dealt to several
 CHUNK_PAIRS = 1 << 20
 
 
@@ -109,13 +111,14 @@ def coded_vectors(vectors: DataFrame, width: int, mean: np.ndarray, columns: np.
 
 def link_shard(
     table: int, bits: int, low_bits: int, codes: np.ndarray, vectors: np.ndarray, weights: np.ndarray,
-    probe: np.ndarray, cosine: float,
+    probe: np.ndarray, cosine: float, blocks: np.ndarray | None = None, inside: bool = True,
 ) -> tuple[np.ndarray, LocalGroups]:
     """Links of one part of a table: weight of linked items for every item, and the groups they form.
 
     Items with ``probe`` 0 are members; others only ask for the members whose
     key differs from theirs in that bit. A pair counts in the first table only
-    that finds it, so no pair counts twice.
+    that finds it, so no pair counts twice. With ``blocks`` only members of
+    different blocks are compared; without ``inside`` members are not compared at all.
     """
     keys = codes[:, table]
     linked = np.zeros(len(keys), np.int64)
@@ -146,6 +149,8 @@ def link_shard(
         different = np.bitwise_count(codes[i] ^ codes[j])
         keep = (different[:, :table] > RADIUS).all(axis=1)
         keep &= different.sum(axis=1) <= MAX_DIFFERENT * bits * codes.shape[1]
+        if blocks is not None:
+            keep &= blocks[i] != blocks[j]
         i, j = i[keep], j[keep]
         close = np.einsum("ij,ij->i", units[i], units[j]) >= cosine
         i, j = i[close], j[close]
@@ -154,8 +159,9 @@ def link_shard(
         groups.unite(i, j)
 
     place = np.arange(len(members))
-    visit(members, sorted_keys, place + 1)  # equal keys: those behind it
-    for bit in range(low_bits):
+    if inside:
+        visit(members, sorted_keys, place + 1)  # equal keys: those behind it
+    for bit in range(low_bits if inside else 0):
         flag = np.int64(1) << bit
         asks = members[(sorted_keys & flag) != 0]
         visit(asks, keys[asks] ^ flag)
@@ -170,7 +176,10 @@ def shard_links(classes: DataFrame, n: int, bits: int, tables: int, cosine: floa
     A table is cut by the leading bits of its keys into parts of
     ``SHARD_VECTORS`` members on average, whatever ``n``. A vector is a member
     of one part a table, and asks the parts whose leading bits differ in one
-    place; of two parts only the one with the bit set asks.
+    place; of two parts only the one with the bit set asks. A part with more
+    than ``HOT_PART`` members, such as a large group of near copies, is dealt
+    into blocks: every pair of blocks, and every block of asking vectors with
+    every block of members, is a task of its own.
     """
     lead = min(bits, max(0, int(np.ceil(np.log2(max(1, n) / SHARD_VECTORS)))))
     low_bits = bits - lead
@@ -186,17 +195,33 @@ def shard_links(classes: DataFrame, n: int, bits: int, tables: int, cosine: floa
             )))
     routed = classes.select("cid", "w", "code", "v", F.inline(F.filter(F.array(*targets), lambda t: t.isNotNull())))
 
+    sizes = routed.filter("probe = 0").groupBy("table", "part").agg(F.count(F.lit(1)).alias("size"))
+    hot = staged(sizes.filter(F.col("size") > HOT_PART).select("table", "part", F.ceil(F.col("size") / HOT_PART).cast("int").alias("blocks")), "hot-parts")
+    routed = checked_join(routed, hot, ["table", "part"], "left")
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    numbers = F.sequence(F.lit(0), F.col("blocks") - 1)
+    task = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    with_members = F.transform(numbers, lambda j: task(F.least(F.col("block"), j), F.greatest(F.col("block"), j)))
+    with_guests = F.transform(numbers, lambda j: task(-1 - j, F.col("block")))
+    as_guest = F.transform(numbers, lambda j: task(-1 - F.col("block"), j))
+    tasks = F.when(F.col("blocks").isNull(), F.array(task(F.lit(0), F.lit(0)))).when(
+        F.col("probe") == 0, F.concat(with_members, with_guests)
+    ).otherwise(as_guest)
+    dealt = routed.withColumn("block", own).select("cid", "w", "code", "v", "table", "part", "probe", "block", F.inline(tasks))
+
     def link(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("cid", kind="stable")  # the smallest place is the smallest id
         ids = group["cid"].to_numpy()
+        first = group.iloc[0]
         linked, groups = link_shard(
-            int(group["table"].iloc[0]), bits, low_bits, np.stack(group["code"].to_numpy()), np.stack(group["v"].to_numpy()),
+            int(first["table"]), bits, low_bits, np.stack(group["code"].to_numpy()), np.stack(group["v"].to_numpy()),
             group["w"].to_numpy(), group["probe"].to_numpy(), cosine,
+            group["block"].to_numpy() if 0 <= first["a"] < first["b"] else None, bool(first["a"] >= 0),
         )
         found = np.flatnonzero(linked)
         return pd.DataFrame({"cid": ids[found], "linked": linked[found], "label": ids[groups.roots(found)]})
 
-    return routed.groupBy("table", "part").applyInPandas(link, "cid long, linked long, label long")
+    return dealt.groupBy("table", "part", "a", "b").applyInPandas(link, "cid long, linked long, label long")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = MIN_COSINE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -32,7 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 @lru_cache(maxsize=1)
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="lettermill-")
+    folder = tempfile.mkdtemp(prefix="lettermill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 @lru_cache(maxsize=8)

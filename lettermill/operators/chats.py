@@ -99,11 +99,18 @@ def compare_responses(
 ) -> DataFrame:
     """Both responses beside each prompt; a missing one is NULL.
 
-    Pivoting on the prompt key needs one shuffle of the responses; the join
+    Two responses of one variant to one prompt are an error: give each sample
+    a key of its own. Pivoting on the prompt key needs one shuffle of the responses; the join
     reuses that partitioning.
     """
     sides = responses.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("variant") == v, F.col("response"))).alias(f"{v}_response") for v in variants]
+        *[F.max(F.when(F.col("variant") == v, F.col("response"))).alias(f"{v}_response") for v in variants],
+        *[F.count_if(F.col("variant") == v).alias(f"_{v}") for v in variants],
+    )
+    several = F.greatest(*[F.col(f"_{v}") for v in variants]) > 1
+    problem = F.raise_error(F.lit("more than one response of a variant to one prompt")).cast("string")
+    sides = sides.select(
+        *keys, *[F.when(several, problem).otherwise(F.col(f"{v}_response")).alias(f"{v}_response") for v in variants]
     )
     return prompts.join(sides, keys, "left")
 

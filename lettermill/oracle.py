@@ -346,12 +346,12 @@ _PART_ROWS = [
 _CORPUS = f"""
     with emails as ({views.EMAILS}),
     texts as (
-      select case doc_id % 4 when 0 then regexp_replace(body, '(?m)^From ', '>From ', 'g') when 1 then body
+      select subject, source, case doc_id % 4 when 0 then regexp_replace(body, '(?m)^From ', '>From ', 'g') when 1 then body
         when 2 then {_html_body("regexp_replace('" + views.HTML_BODY.split("{}")[0] + "' || body || '" + views.HTML_BODY.split("{}")[1] + "', '(?m)^From ', '>From ', 'g')")}
         end as body from emails),
-    cut as (select body, {_lines(CUT.format(t="coalesce(body, '')"))} as ls from texts),
-    cleaned as (select body, {_normal(_join(_KEPT))} as clean from cut),
-    judged as (select {_n_words('clean')} as n_words,
+    cut as (select subject, source, body, {_lines(CUT.format(t="coalesce(body, '')"))} as ls from texts),
+    cleaned as (select subject, source, body, {_normal(_join(_KEPT))} as clean from cut),
+    judged as (select subject, source, clean, {_n_words('clean')} as n_words,
       case when body is null or body = '' then 'empty' when {_n_words('clean')} < {fv.MIN_WORDS} then 'short' else 'ok' end as status
       from cleaned)
 """
@@ -436,6 +436,8 @@ ORACLE: dict[str, str] = {
         )
     ),
     "corpus_build": _CORPUS + _STATS,
+    "corpus_read": _CORPUS
+    + "select 'source_' || source as mailbox, subject, clean as content, cast(n_words as int) as word_count from judged where status = 'ok'",
     "header_projection": _query("select doc_id, subject, to_addr from emails", "emails"),
     "drop_attachments": _query(
         """select msg_id, part_no, content_type, disposition, payload from parts

@@ -98,6 +98,19 @@ def corpus_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_corpus(spark, _mailboxes(spark, sf_dir), scratch_path(spark, "corpus"), model)
 
 
+def corpus_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the build wrote: mailbox, subject and text of every example."""
+    path = scratch_path(spark, "corpus")
+    build_corpus(spark, _mailboxes(spark, sf_dir), path, _model(spark, sf_dir))
+    read = jsonl.read_examples(spark, path)
+    return read.select(
+        F.regexp_extract("mailbox", "^(.*)-[0-9a-f]{8}$", 1).alias("mailbox"),
+        F.col("metadata.subject").alias("subject"),
+        F.element_at("messages", -1)["content"].alias("content"),
+        F.col("metadata.word_count").alias("word_count"),
+    )
+
+
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "examples")
     jsonl.write_examples(_examples(spark, sf_dir), path)
@@ -455,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "write_by_split": write_by_split,
     "mime_parts": mime_parts,
     "corpus_build": corpus_build,
+    "corpus_read": corpus_read,
     "header_projection": header_projection,
     "drop_attachments": drop_attachments,
     "choose_body": choose_body,

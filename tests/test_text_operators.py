@@ -257,6 +257,8 @@ def test_missing_responses_stay(spark):
     responses = spark.createDataFrame([(1, "base", "x"), (1, "tuned", "y"), (2, "tuned", "z")], "id long, variant string, response string")
     rows = chats.compare_responses(prompts, responses, ["id"]).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(1, "p", "x", "y"), (2, "q", None, "z")]
+    with pytest.raises(Exception, match="more than one response"):
+        chats.compare_responses(prompts, responses.union(responses), ["id"]).collect()
 
 
 # --- plans and stream ---------------------------------------------------------------------------

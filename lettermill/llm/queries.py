@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lettermill.llm import embeddings, fingerprints, langid, licenses, lm, packing, sentencepieces, simhash, substrings, toxicity
 from lettermill.llm.oracle import ORACLE
@@ -31,8 +32,12 @@ def op2_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = langid.fit_text_model(_table(spark, sf_dir, "documents"))
-    return langid.identify_pages(_table(spark, sf_dir, "pages"), model)
+    """Pages by all evidence; documents by text and source, as the pipeline takes them."""
+    documents = _table(spark, sf_dir, "documents")
+    model = langid.fit_text_model(documents)
+    number = F.lit(None).cast("long")
+    pages = langid.identify_pages(_table(spark, sf_dir, "pages"), model).withColumn("doc_id", number)
+    return langid.identify_documents(documents, model).withColumn("page_id", number).unionByName(pages)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

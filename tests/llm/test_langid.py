@@ -26,6 +26,17 @@ def test_held_out_accuracy(spark, model):
     assert sum(got[i] == l for i, l in truth.items()) >= 0.98 * len(truth)
 
 
+def test_query_has_every_page_and_document(spark):
+    from lettermill.llm.queries import QUERIES
+
+    rows = QUERIES["op3_langid"](spark, "/root/testdata/sf0.001").collect()
+    ids = lambda name: sorted(r[0] for r in spark.read.parquet(f"/root/testdata/sf0.001/{name[:-3]}s.parquet").select(name).collect())
+    assert sorted(r["page_id"] for r in rows if r["doc_id"] is None) == ids("page_id")
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang").collect()
+    found = {r["doc_id"]: r["lang"] for r in rows if r["page_id"] is None}
+    assert sum(found[r["doc_id"]] == r["lang"] for r in documents) >= 0.98 * len(documents)
+
+
 def test_windows_by_hand():
     texts = ["Ab1c", "", "é", "xyz"]
     column = pa.array(texts)

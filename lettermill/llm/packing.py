@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,12 @@ class Encoder:
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
-        self.full = Tokenizer.from_file(vocabulary)
+        self.vocabulary = vocabulary
+
+    @cached_property
+    def full(self) -> Tokenizer:
+        """Only read where a text needs it."""
+        return Tokenizer.from_file(self.vocabulary)
 
     def ids(self, text: str) -> np.ndarray:
         if SPECIAL not in text:

@@ -1,0 +1,65 @@
+"""Near copies of the pipeline against all pairs of shingle sets."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+from lettermill.llm import near_copies, simhash
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_groups(rows):
+    label = {i: i for i, _ in rows if i is not None}
+    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    links = [(i, j) for i, a in sets for j, b in sets if i < j and 5 * len(a & b) >= 4 * len(a | b)]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in links:
+            if label[i] != label[j]:
+                label[i] = label[j] = min(label[i], label[j])
+                changed = True
+    return label
+
+
+def some_rows():
+    rng = random.Random(8)
+    bases = [[f"w{rng.randrange(400)}" for _ in range(rng.randrange(5, 160))] for _ in range(12)]
+    rows = [(900, None), (901, ""), (902, "one Two"), (903, "ONE two"), (904, "one two three four five six"), (None, "one two")]
+    notice = [f"note{k}" for k in range(30)]
+    for i in range(150):
+        words = list(rng.choice(bases))
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(99)}"
+        rows.append((i, " ".join(words + (notice if i % 3 == 0 else []))))
+    rows += [(200 + i, " ".join(f"x{rng.randrange(9)}" for _ in range(40))) for i in range(20)]
+    return rows
+
+
+def test_groups_equal_all_pairs(spark):
+    rows = some_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["node"]: r["component"] for r in near_copies.near_copies(df).collect()}
+    assert {i: got.get(i, i) for i, _ in rows if i is not None} == plain_groups(rows)
+
+
+def test_stage_drops_copies_far_apart_in_bits(spark):
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    copies = [base]
+    for at in (20, 60, 100, 140):
+        copies.append([*copies[-1][:at], f"new{at}", *copies[-1][at + 1 :]])
+    texts = [" ".join(base), " ".join(copies[-1])]
+    one, other = (simhash.fingerprint(t.encode()) for t in texts)
+    assert (one ^ other).bit_count() > 3 and 0.8 <= len(shingles(texts[0]) & shingles(texts[1])) / len(shingles(texts[0]) | shingles(texts[1]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.without_near_copies(spark, df, "").collect()] == [0]
+
+
+def test_empty_table(spark):
+    assert near_copies.near_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0

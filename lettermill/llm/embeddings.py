@@ -25,10 +25,12 @@ MAX_DIFFERENT = 0.3  # share of differing code bits beyond which a candidate is
 SHARD_VECTORS = 4_096  # members of one part of a table, on average
 HOT_PART = 16_384  # members of a part that one task compares; a fuller part is dealt to several
 CHUNK_PAIRS = 1 << 20
+PROBE_BITS = 64  # code bits, at least, that the rate of differing bits is measured with
+MAX_TABLES = 64  # with more, codes are about the origin instead of the mean; both are planned for the same recall
 
 
-def fit_rotations(sample: np.ndarray, bits: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Mean, and a matrix whose columns give one code bit each, learned on unit vectors.
+def fit_rotations(sample: np.ndarray, bits: int, seed: int = 0, centre: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Mean (zero without ``centre``), and a matrix whose columns give one code bit each, learned on unit vectors.
 
     Principal directions first, then a rotation that alternates between the
     nearest signs and the orthogonal matrix closest to them, so that bits are
@@ -36,7 +38,7 @@ def fit_rotations(sample: np.ndarray, bits: int, seed: int = 0) -> tuple[np.ndar
     starts, as the bits need.
     """
     rng = np.random.default_rng(seed)
-    mean = sample.mean(axis=0)
+    mean = sample.mean(axis=0) * centre
     centred = sample - mean
     _, _, axes = np.linalg.svd(centred.T @ centred)
     parts = []
@@ -51,16 +53,51 @@ def fit_rotations(sample: np.ndarray, bits: int, seed: int = 0) -> tuple[np.ndar
     return mean, np.concatenate(parts, axis=1)[:, :bits]
 
 
-def plan_tables(n: int, cosine: float = MIN_COSINE) -> tuple[int, int]:
+def plan_tables(n: int, cosine: float = MIN_COSINE, rates: np.ndarray | None = None) -> tuple[int, int]:
     """Bits of a key and number of tables for ``n`` vectors.
 
     Keys have about log2(n) bits, so buckets of unrelated vectors keep their
-    size; a bit of two vectors differs with probability angle / pi.
+    size. About the origin a bit of two vectors differs with probability
+    angle / pi; ``rates`` are those measured on threshold pairs, one a pair.
+    Pairs differ in how hard they are to find, so the misses are averaged.
     """
     bits = min(60, max(TABLE_BITS, int(np.ceil(np.log2(max(2, n))))))
-    differ = np.arccos(cosine) / np.pi
-    found = (1 - differ) ** bits + bits * differ * (1 - differ) ** (bits - 1)
-    return bits, int(np.ceil(np.log(MISS) / np.log(1 - found)))
+    least = np.arccos(cosine) / np.pi
+    tables = 1
+    for differ in (np.array([least]), np.array([least]) if rates is None else np.clip(rates, 0.0, 0.5)):
+        missed = 1 - ((1 - differ) ** bits + bits * differ * (1 - differ) ** (bits - 1))
+        low, high = 0, tables  # misses only fall as tables are added
+        while (missed**high).mean() > MISS:
+            low, high = high, 2 * high
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if (missed**middle).mean() > MISS else (low, middle)
+        tables = max(tables, high)
+    return bits, tables
+
+
+def threshold_rates(sample: np.ndarray, mean: np.ndarray, columns: np.ndarray, cosine: float) -> np.ndarray:
+    """Share of differing code bits of every vector of ``sample`` and another at the threshold, in a random direction."""
+    away = np.random.default_rng(1).standard_normal(sample.shape)
+    away -= (away * sample).sum(axis=1, keepdims=True) * sample
+    length = np.sqrt((away * away).sum(axis=1, keepdims=True))
+    other = cosine * sample + np.sqrt(max(0.0, 1 - cosine**2)) * away / np.where(length > 0, length, 1.0)
+    return (((sample - mean) @ columns >= 0) != ((other - mean) @ columns >= 0)).mean(axis=1)
+
+
+def fit_codes(sample: np.ndarray, n: int, cosine: float) -> tuple[int, int, np.ndarray, np.ndarray, float]:
+    """Bits of a key, tables, mean, columns, and the share of differing bits beyond which no candidate is reranked.
+
+    Vectors with a common direction are further apart about their mean than
+    about the origin, so tables are planned from threshold pairs about the mean.
+    """
+    for centre in (True, False):
+        rates = threshold_rates(sample, *fit_rotations(sample, max(PROBE_BITS, sample.shape[1]), centre=centre), cosine)
+        bits, tables = plan_tables(n, cosine, rates)
+        if tables <= MAX_TABLES:
+            break
+    mean, columns = fit_rotations(sample, bits * tables, centre=centre)
+    return bits, tables, mean, columns, max(MAX_DIFFERENT, float(threshold_rates(sample, mean, columns, cosine).max()))
 
 
 def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,6 +149,7 @@ def coded_vectors(vectors: DataFrame, width: int, mean: np.ndarray, columns: np.
 def link_shard(
     table: int, bits: int, low_bits: int, codes: np.ndarray, vectors: np.ndarray, weights: np.ndarray,
     probe: np.ndarray, cosine: float, blocks: np.ndarray | None = None, inside: bool = True,
+    max_different: float = MAX_DIFFERENT,
 ) -> tuple[np.ndarray, LocalGroups]:
     """Links of one part of a table: weight of linked items for every item, and the groups they form.
 
@@ -148,7 +186,7 @@ def link_shard(
     def compare(i: np.ndarray, j: np.ndarray) -> None:
         different = np.bitwise_count(codes[i] ^ codes[j])
         keep = (different[:, :table] > RADIUS).all(axis=1)
-        keep &= different.sum(axis=1) <= MAX_DIFFERENT * bits * codes.shape[1]
+        keep &= different.sum(axis=1) <= max_different * bits * codes.shape[1]
         if blocks is not None:
             keep &= blocks[i] != blocks[j]
         i, j = i[keep], j[keep]
@@ -170,7 +208,7 @@ def link_shard(
     return linked, groups
 
 
-def shard_links(classes: DataFrame, n: int, bits: int, tables: int, cosine: float) -> DataFrame:
+def shard_links(classes: DataFrame, n: int, bits: int, tables: int, cosine: float, max_different: float = MAX_DIFFERENT) -> DataFrame:
     """``(cid, linked, label)``: links found in each part of each table, and the smallest member of the local group.
 
     A table is cut by the leading bits of its keys into parts of
@@ -217,6 +255,7 @@ def shard_links(classes: DataFrame, n: int, bits: int, tables: int, cosine: floa
             int(first["table"]), bits, low_bits, np.stack(group["code"].to_numpy()), np.stack(group["v"].to_numpy()),
             group["w"].to_numpy(), group["probe"].to_numpy(), cosine,
             group["block"].to_numpy() if 0 <= first["a"] < first["b"] else None, bool(first["a"] >= 0),
+            max_different,
         )
         found = np.flatnonzero(linked)
         return pd.DataFrame({"cid": ids[found], "linked": linked[found], "label": ids[groups.roots(found)]})
@@ -246,8 +285,7 @@ def near_vectors(vectors: DataFrame, cosine: float = MIN_COSINE, id_col: str = "
     width, n = size["width"], size["n"]
     chosen = known.filter(F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE_ROWS / n)) + 1)
     matrix, good = _matrix(chosen.select("v").toArrow().column("v").combine_chunks(), width)  # about SAMPLE_ROWS rows
-    bits, tables = plan_tables(n, cosine)
-    mean, columns = fit_rotations(unit(matrix[good]) if good.any() else np.eye(width), bits * tables)
+    bits, tables, mean, columns, most = fit_codes(unit(matrix[good]) if good.any() else np.eye(width), n, cosine)
     coded = staged(coded_vectors(known, width, mean, columns, tables), "codes")
     classes = staged(
         coded.groupBy("key").agg(
@@ -256,7 +294,7 @@ def near_vectors(vectors: DataFrame, cosine: float = MIN_COSINE, id_col: str = "
         ),
         "vector-classes",
     )
-    found = staged(shard_links(classes, classes.count(), bits, tables, cosine), "vector-links")
+    found = staged(shard_links(classes, classes.count(), bits, tables, cosine, most), "vector-links")
     linked = found.groupBy(F.col("cid").alias("c1")).agg(F.sum("linked").alias("linked"))
     groups = components(found.select(F.col("cid").alias("a"), F.col("label").alias("b")))
     named = (

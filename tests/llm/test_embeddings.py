@@ -54,6 +54,21 @@ def test_hard_pairs_at_the_threshold(spark, monkeypatch):
         assert got[i]["component_id"] >= label[i]
 
 
+@pytest.mark.parametrize("common", [0.7, 0.8])
+def test_hard_pairs_with_a_common_direction(spark, common):
+    rng = np.random.default_rng(4)
+    own = em.unit(rng.standard_normal((700, 64)))
+    base = em.unit(np.sqrt(common) * em.unit(np.ones((1, 64))) + np.sqrt(1 - common) * own)
+    away = rng.standard_normal(base.shape)
+    away = em.unit(away - (away * base).sum(axis=1, keepdims=True) * base)
+    vectors = np.concatenate((base, 0.955 * base + np.sqrt(1 - 0.955**2) * away))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    link, _ = brute(list(range(len(vectors))), vectors)
+    got = {r["vec_id"]: r["n_links"] for r in em.near_vectors(df).collect()}
+    n_true, n_got = link.sum(axis=1), np.array([got[i] for i in range(len(vectors))])
+    assert (n_got <= n_true).all() and n_got.sum() >= 0.9 * n_true.sum() and n_true.sum() >= 1400
+
+
 @pytest.mark.parametrize("limit", [16_384, 100])
 def test_a_large_group_of_near_copies_counts_every_link(spark, monkeypatch, limit):
     monkeypatch.setattr(em, "HOT_PART", limit)

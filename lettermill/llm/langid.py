@@ -108,7 +108,7 @@ def fit_text_model(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE, text_col: str
 def page_evidence(pages: DataFrame, model: TextModel, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """What a page says: ``(id, host, domain, suffix, declared, n_letters, logits, p)``; ``p`` is the text's own posterior."""
     host = F.lower(F.regexp_extract(F.col(url_col), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    head = F.regexp_extract(F.left(F.col(html_col), F.lit(4096)), r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1)
+    head = F.regexp_extract(F.col(html_col), r"(?i)<html\b(?:(?!<html\b)[^>])*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1)
     return evidence(
         pages, model, F.col(id_col), F.col(html_col), F.nullif(host, F.lit("")), F.nullif(F.lower(head), F.lit("")), markup=True
     )

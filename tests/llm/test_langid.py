@@ -105,6 +105,13 @@ def test_fusion_equals_the_formulas(spark, model):
     assert {r["page_id"] for r in got if r["lang"] == "und"} == {4, 5, 7}
 
 
+def test_declared_language_behind_a_long_comment(spark, model):
+    page = "<!-- " + "licence " * 2000 + "-->\n<html lang='de'><p>der"
+    pages = [page, "<html " * 50_000 + "lang=de", "<html " + "a " * 300_000 + "lang=de>"]
+    df = spark.createDataFrame([(i, None, p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    assert [r["declared"] for r in langid.page_evidence(df, model).collect()] == ["de"] * 3
+
+
 def test_html_text_is_linear_and_keeps_text():
     assert langid.html_text(b"a<b>c</b>&lt;1 < 2 <script>x</script><!-- y").split() == [b"a", b"c", b"<1", b"<", b"2"]
     for piece in (b"<!--", b"<script>", b"<a "):

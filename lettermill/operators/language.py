@@ -24,7 +24,6 @@ from lettermill.functions.text import contains_any, words
 
 HASH_DIGITS = 3  # hexadecimal digits of the word hash: 4,096 buckets
 PER_MILLION = 1_000_000
-ROWS_PER_LANGUAGE = 20_000  # labelled texts of a language that the model learns from, about
 MAX_LANGUAGES = 64
 
 
@@ -61,10 +60,8 @@ class LanguageModel:
     scores: dict[str, list[int]]
 
     @classmethod
-    def fit(
-        cls, labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = ROWS_PER_LANGUAGE
-    ) -> LanguageModel:
-        """Learn from about ``rows`` texts of each language, chosen by a hash of the text; all where there are fewer.
+    def fit(cls, labelled: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
+        """Learn from all labelled texts.
 
         Rows without a text or a label are left out. Nothing to learn from is an
         error, and so are more than ``MAX_LANGUAGES``, which bounds the model.
@@ -73,10 +70,6 @@ class LanguageModel:
         counts = known.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
         if not 1 <= len(counts) <= MAX_LANGUAGES:
             raise ValueError(f"{len(counts) or 'no'} labelled languages; 1 to {MAX_LANGUAGES} can be learned")
-        place = F.pmod(F.xxhash64(text), F.lit(PER_MILLION))
-        for row in counts:
-            if row["n"] > rows:
-                known = known.filter((F.col(lang) != row[0]) | (place < PER_MILLION * rows // row["n"]))
         scores: dict[str, list[int]] = {row[0]: [0] * 16**HASH_DIGITS for row in counts}
         for row in bucket_profile(known, text, lang).collect():  # languages x 4,096 at most
             scores[row["lang"]][row["bucket"]] = row["score"]

@@ -106,6 +106,13 @@ def test_language_model_is_kept_and_bounded(spark, texts, tmp_path):
             LanguageModel.fit(spark.createDataFrame(empty, "text string, lang string"))
 
 
+def test_language_model_counts_every_text(spark):
+    rows = spark.range(30_000).select(F.concat(F.lit("the w"), F.col("id") % 7).alias("text"), F.lit("en").alias("lang"))
+    expected = {r["bucket"]: r["score"] for r in language.bucket_profile(rows).collect()}
+    scores = LanguageModel.fit(rows).scores["en"]
+    assert {i: n for i, n in enumerate(scores) if n} == expected
+
+
 def test_language_ties_go_to_the_first_name(spark, texts):
     model = LanguageModel.fit(spark.createDataFrame([("a", "nl"), ("a", "en")], "text string, lang string"))
     assert model.with_language(texts(["a"]), "text").first()["lang_detected"] == "en"

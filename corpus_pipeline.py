@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.llm import langid, near_copies, packing, substrings, toxicity
+from lettermill.llm import langid, packing, simhash, substrings, toxicity
 from lettermill.plans.joins import checked_join
 from lettermill.session import staged
 
@@ -41,9 +41,9 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies (five-word shingles, similarity 0.8) the document with the smallest id stays."""
-    groups = near_copies.near_copies(docs)
-    return _without(docs, groups.filter("node != component").select(F.col("node").alias("doc_id")))
+    """Of every group of near copies (three-word shingles, three differing bits) the smallest id stays."""
+    groups = simhash.near_duplicates(docs)
+    return _without(docs, groups.filter("doc_id != component_id").select("doc_id"))
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,5 +76,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without ``ids``, which are broadcast only if few; rows with a null id stay."""
+    """``docs`` without ``ids``, which are broadcast only if few.
+
+    Rows with a null id stay; an id with several texts is one document, so all of its rows go.
+    """
     return checked_join(docs, staged(ids.distinct(), "rejected"), "doc_id", "left_anti")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from lettermill.llm.licenses import CONTAINMENT, PHRASES, SEPARATORS, TEMPLATES, template_words
 
 
@@ -44,4 +46,30 @@ from words left join base using (doc_id) left join named using (doc_id) left joi
 """
 
 
-ORACLE: dict[str, str] = {"op6_licenses": _licenses()}
+_LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_LEXICAL = f"""
+with rows as (select row_number() over () as row, doc_id, {_TERMS} as terms from documents),
+sizes as (select row, doc_id, len(terms) as n from rows where len(terms) > 0),
+totals as (select count(*) as n_docs, cast(sum(n) as bigint) as n_terms from sizes),
+counts as (select row, term, count(*) as tf from (select row, unnest(terms) as term from rows) group by row, term),
+df as (select term, count(*) as df from counts group by term),
+asked as (select distinct item_id, unnest({_TERMS}) as term from benchmark),
+weights as (
+  select item_id, term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) as bigint) as w
+  from asked join df using (term), totals
+),
+scores as (
+  select item_id, row, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms))))) as bigint) as score
+  from weights join counts using (term) join sizes using (row), totals
+  group by item_id, row, doc_id
+),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank, doc_id, score
+  from scores where score > 0
+)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op6_licenses": _licenses(), "op11_lexical": _LEXICAL}

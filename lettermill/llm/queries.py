@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.llm import embeddings, fingerprints, langid, licenses, lm, packing, sentencepieces, simhash, substrings, toxicity
+from lettermill.llm import embeddings, fingerprints, langid, lexical, licenses, lm, packing, sentencepieces, simhash, substrings, toxicity
 from lettermill.llm.oracle import ORACLE
 
 BYTE_BPE = (
@@ -73,6 +73,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepieces": op2_sentencepieces,
@@ -84,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_embeddings": op9_embeddings,
     "op10_substrings": op10_substrings,
+    "op11_lexical": op11_lexical,
 }
 __all__ = ["ORACLE", "QUERIES"]

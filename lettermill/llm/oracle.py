@@ -72,4 +72,49 @@ ranked as (
 select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op6_licenses": _licenses(), "op11_lexical": _LEXICAL}
+_CRC = "list_reduce(range(8), lambda v, i: case when v % 2 = 1 then xor(v // 2, 3988292384) else v // 2 end, xor(c, b))"
+_TRIE = f"""
+with digits as (
+  select distinct conv_id, list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ascii(x) as bigint)) as bytes
+  from conversations where conv_id is not null
+),
+convs as (
+  select conv_id, conv_id - conv_id % 5 as base,
+    xor(list_reduce(bytes, lambda c, b: {_CRC}, cast(4294967295 as bigint)), 4294967295) % 9 as h
+  from digits
+),
+turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as p, hash, size from (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+      md5(coalesce(role, '') || chr(0) || coalesce(text, '')) as hash, strlen(coalesce(text, '')) as size
+    from conversations where conv_id is not null)
+),
+placed as (
+  select c.conv_id, 0 as part, p, hash, size from convs c join turns t on t.conv_id = c.base where p < h
+  union all
+  select conv_id, 1 as part, p, hash, size from convs join turns using (conv_id) where p >= h
+),
+rebuilt as (select conv_id, row_number() over (partition by conv_id order by part, p) as d, hash, size from placed),
+paths as (
+  select conv_id, d, size, array_agg(hash) over (partition by conv_id order by d) as path from rebuilt
+  union all
+  select conv_id, 0, 0, cast([] as varchar[]) from convs
+),
+lengths as (select conv_id, max(d) as n from paths group by conv_id),
+nodes as (
+  select path, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(size) as size,
+    coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where d = n), '') as ends
+  from paths join lengths using (conv_id) group by path, d
+),
+children as (select path[:-2] as path, d - 1 as d, count(*) as n_children from nodes where d > 0 group by all),
+known as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join children using (path, d)),
+subtrees as (
+  select a.path, count(*) filter (where b.n_children = 0) as n_leaves, cast(sum((b.n_convs - 1) * b.size) as bigint) as saved_tokens
+  from known a join known b on b.d >= a.d and b.path[:a.d] = a.path group by a.path
+)
+select known.conv_id, cast(known.d as bigint) as depth, parent.conv_id as parent_conv_id, known.n_convs, known.n_children, n_leaves, saved_tokens,
+  sha256(known.ends) as ends_sha256
+from known join subtrees using (path) left join known parent on parent.d = known.d - 1 and parent.path = known.path[:-2]
+"""
+
+ORACLE: dict[str, str] = {"op6_licenses": _licenses(), "op11_lexical": _LEXICAL, "op12_conversations": _TRIE}

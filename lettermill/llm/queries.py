@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.llm import embeddings, fingerprints, langid, lexical, licenses, lm, packing, sentencepieces, simhash, substrings, toxicity
+from lettermill.llm import conversations, embeddings, fingerprints, langid, lexical, licenses, lm, packing, sentencepieces, simhash, substrings, toxicity
 from lettermill.llm.oracle import ORACLE
 
 BYTE_BPE = (
@@ -77,6 +77,10 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepieces": op2_sentencepieces,
@@ -89,5 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embeddings": op9_embeddings,
     "op10_substrings": op10_substrings,
     "op11_lexical": op11_lexical,
+    "op12_conversations": op12_conversations,
 }
 __all__ = ["ORACLE", "QUERIES"]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lettermill.llm import conversations, embeddings, fingerprints, langid, lexical, licenses, lm, packing, sentencepieces, simhash, substrings, toxicity
+from lettermill.llm import conversations, embeddings, fingerprints, langid, lexical, licenses, lm, packing, personal, sentencepieces, simhash, substrings, toxicity
 from lettermill.llm.oracle import ORACLE
 
 BYTE_BPE = (
@@ -81,6 +81,10 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.conversation_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op13_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_sentencepieces": op2_sentencepieces,
@@ -94,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substrings": op10_substrings,
     "op11_lexical": op11_lexical,
     "op12_conversations": op12_conversations,
+    "op13_personal": op13_personal,
 }
 __all__ = ["ORACLE", "QUERIES"]

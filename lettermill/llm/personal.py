@@ -42,8 +42,6 @@ CANDIDATE = "|".join([
     r"(?<![A-Za-z0-9])[0-9](?:[\x20-]?[0-9]){5,}+",
     r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[0-9]*+[A-Za-z])[A-Za-z0-9]{8,}+",
 ])
-#: A text without the mark has no match of the kind.
-MARKS = {"email": "@", "ip": ".", "phone": "+"}
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -80,11 +78,14 @@ def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     All texts are read once here. Written, so that the row numbers stay.
     """
-    text, none = F.col("t"), F.array().cast("array<string>")
+    none = F.array().cast("array<string>")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    has = lambda mark: F.contains(F.col("t"), F.lit(mark))
+    digit = F.col("_digit")  # most texts lack what a match needs; one look tells
+    marked = {"email": has("@"), "ip": digit & has("."), "card": digit, "phone": digit & has("+"), "any": digit | has("@")}
+    rows = with_columns_once(rows, {"_digit": F.regexp_like("t", F.lit("[0-9]"))})
     found = {k: F.regexp_extract_all("t", F.lit(p), F.lit(0)) for k, p in {**KINDS, "any": CANDIDATE}.items()}
-    found = {k: F.when(F.contains(text, F.lit(MARKS[k])), m).otherwise(none) if k in MARKS else m for k, m in found.items()}
-    rows = with_columns_once(rows, {f"{k}_found": m for k, m in found.items()})
+    rows = with_columns_once(rows, {f"{k}_found": F.when(marked[k], m).otherwise(none) for k, m in found.items()}).drop("_digit")
     gaps = {
         f"{k}_gaps": F.when(F.size(f"{k}_found") > 0, F.transform(F.split("t", p, -1), lambda g: F.length(g))) for k, p in KINDS.items()
     }

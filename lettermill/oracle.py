@@ -402,6 +402,42 @@ def _delta() -> str:
     """
 
 
+GROUPED_SPLIT = r"""
+with recursive texts as (
+  select doc_id, trim(regexp_replace(lower(text), '[^\pL\pN]+', ' ', 'g')) as body,
+    trim(regexp_replace(lower(string_split(text, chr(10))[1]), '[^\pL\pN]+', ' ', 'g')) as opening
+  from documents
+),
+keys as (
+  select doc_id, 'b' || body as key from texts where body <> ''
+  union all
+  select doc_id, 'o' || opening from texts where len(string_split(opening, ' ')) >= 5
+),
+links as (select distinct a.doc_id as a, b.doc_id as b from keys a join keys b using (key) where a.doc_id <> b.doc_id),
+reach(id, g) as (
+  select doc_id, doc_id from documents union select b, g from reach join links on a = id
+),
+members as (select id, min(g) as group_id from reach group by id),
+sized as (select group_id, count(*) as size from members group by group_id),
+classes as (
+  select size, count(*) as n, row_number() over (order by size desc) as i from sized group by size
+),
+totals as (select count(*) as total, cast(floor(count(*) * 0.9) as bigint) as target from documents),
+allotted(i, take, taken, passed) as (
+  select cast(0 as bigint), cast(0 as bigint), cast(0 as bigint), cast(0 as bigint)
+  union all
+  select i, take, cast(taken + take * size as bigint), cast(passed + size * n as bigint) from (
+    select c.i, c.size, c.n, p.taken, p.passed, greatest(0, least(c.n,
+      (2 * (p.passed + c.size * c.n) * target - 2 * p.taken * total + c.size * total) // (2 * c.size * total))) as take
+    from allotted p join classes c on c.i = p.i + 1, totals)
+),
+ranked as (
+  select group_id, size, row_number() over (partition by size order by md5('42-' || cast(group_id as string))) as place from sized
+)
+select id as doc_id, group_id, case when place <= take then 'train' else 'validation' end as split
+from members join ranked using (group_id) join classes using (size) join allotted using (i)
+"""
+
 ORACLE: dict[str, str] = {
     "usable_emails": _query(
         """select status, language, count(*) as n, cast(sum(n_words) as bigint) as total_words
@@ -583,6 +619,7 @@ ORACLE: dict[str, str] = {
     "seeded_shuffle": """
         select doc_id, row_number() over (order by md5('42-' || cast(doc_id as string)), doc_id) - 1 as position
         from documents""",
+    "grouped_split": GROUPED_SPLIT,
     "train_val_split": _query("select doc_id, split from splits", "splits", to_split="select doc_id from documents"),
     "render_chat": _query(
         "select conv_id, chat, chat || '<|assistant|>' || chr(10) as chat_for_reply from chats",

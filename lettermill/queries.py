@@ -21,7 +21,7 @@ from lettermill.functions.fixed_values import (
 )
 from lettermill.functions.html import html_to_text
 from lettermill.functions.text import ellipsize, word_count
-from lettermill.operators import bodies, chats, examples, filtering, language, reports, sequences, splitting, style
+from lettermill.operators import bodies, chats, examples, filtering, grouped_split as grouping, language, reports, sequences, splitting, style
 from lettermill.plans.corpus import build_corpus
 from lettermill.session import scratch_path, staged
 from lettermill.sources import jsonl, mailbox
@@ -371,6 +371,15 @@ def seeded_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.seeded_shuffle(_documents(spark, sf_dir), "doc_id").select("doc_id", "position")
 
 
+def grouped_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts equal but for case and punctuation, and those that begin with the same line of five words, stay together."""
+    docs = _documents(spark, sf_dir)
+    plain = lambda c: F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "))
+    opening = plain(F.split("text", "\n")[0])
+    keys = [F.nullif(plain(F.col("text")), F.lit("")), F.when(F.size(F.split(opening, " ")) >= 5, opening)]
+    return grouping.grouped_split(docs, "doc_id", [F.md5(k.cast("binary")) for k in keys]).select("doc_id", "group_id", "split")
+
+
 def train_val_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.train_val_split(_documents(spark, sf_dir), "doc_id").select("doc_id", "split")
 
@@ -516,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "sample_texts": sample_texts,
     "seeded_shuffle": seeded_shuffle,
     "train_val_split": train_val_split,
+    "grouped_split": grouped_split,
     "render_chat": render_chat,
     "render_chat_by_role": render_chat_by_role,
     "build_vocab": build_vocab,

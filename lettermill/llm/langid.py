@@ -20,6 +20,7 @@ MAX_LANGUAGES = 64
 BUCKET_BITS = 16  # a model row has so many log-probabilities
 TEMPER = 0.1  # windows of four bytes overlap, so each is worth a part of an independent observation
 PSEUDO_PAGES = 5.0  # weight of the wider group in every smoothed count
+UNKNOWN = "und"
 MIN_POSTERIOR = 0.3  # below it, a document is in no language of the model
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -70,14 +71,16 @@ class TextModel:
 def fit_text_model(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE, text_col: str = "text", lang_col: str = "lang") -> TextModel:
     """Learn from about ``rows`` labelled documents of each language, chosen by a hash of the text.
 
-    Null texts and labels are left out. Fewer than two languages are an error,
-    and so are more than ``MAX_LANGUAGES``, which bounds the model.
+    Null texts and labels are left out. Of more than ``MAX_LANGUAGES`` languages,
+    which bounds the model, those with the most texts are learned. One language is all
+    that is found then; without any, every row is ``und``.
     """
     marked = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    counts = marked.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if not 2 <= len(counts) <= MAX_LANGUAGES:
-        raise ValueError(f"{len(counts)} languages in the labels; 2 to {MAX_LANGUAGES} can be told apart")
+    counts = marked.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang_col).limit(MAX_LANGUAGES).collect()
+    if not counts:
+        return TextModel([UNKNOWN], np.zeros((1, 1 << BUCKET_BITS), np.float32))
     languages = sorted(r[0] for r in counts)
+    marked = marked.filter(F.col(lang_col).isin(*languages))
     share = {r[0]: min(1.0, rows / r["n"]) for r in counts}
     number = F.coalesce(*[F.when(F.col(lang_col) == name, F.lit(i)) for i, name in enumerate(languages)])
     limit = F.coalesce(*[F.when(F.col(lang_col) == name, F.lit(int(1e6 * share[name]) + 1)) for name in languages])
@@ -199,9 +202,9 @@ def fuse(rows: DataFrame, languages: list[str]) -> DataFrame:
     written = F.col("n_letters") > 0
     return joined.select(
         "id", "host", "suffix", "declared", "n_letters",
-        F.when(written, F.element_at(names, F.array_position("p", F.array_max("p")).cast("int"))).otherwise("und").alias("text_lang"),
-        F.when(written, F.element_at(names, F.array_position("fused", F.col("best")).cast("int"))).otherwise("und").alias("lang"),
-        F.when(written, posterior).otherwise(F.lit(0.0)).alias("posterior"),
+        F.when(written, F.element_at(names, F.array_position("p", F.array_max("p")).cast("int"))).otherwise(UNKNOWN).alias("text_lang"),
+        F.when(written, F.element_at(names, F.array_position("fused", F.col("best")).cast("int"))).otherwise(UNKNOWN).alias("lang"),
+        F.when(written & F.lit(languages != [UNKNOWN]), posterior).otherwise(F.lit(0.0)).alias("posterior"),
     )
 
 

@@ -118,8 +118,27 @@ def test_html_text_is_linear_and_keeps_text():
         langid.html_text(piece * 50_000)
 
 
-def test_no_rows_and_too_few_languages(spark, model):
+def test_no_rows_and_few_or_many_languages(spark, model, monkeypatch):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert langid.identify_pages(none, model).count() == 0
-    with pytest.raises(ValueError):
-        langid.fit_text_model(spark.createDataFrame([("a", "en"), (None, "de"), ("b", None)], "text string, lang string"))
+    schema = "doc_id long, text string, lang string, source string"
+    cases = {None: ("und", 0.0), "en": ("en", 1.0)}
+    for language, expected in cases.items():
+        marked = spark.createDataFrame([(1, "some text", language, "s")] if language else [(1, None, "de", "s"), (2, "x", None, None)], schema)
+        found = langid.fit_text_model(marked)
+        docs = spark.createDataFrame([(5, "other words", None, "s"), (6, "12", None, None), (7, None, None, None)], schema)
+        got = {r["doc_id"]: (r["lang"], r["posterior"]) for r in langid.identify_documents(docs, found).collect()}
+        assert got == {5: expected, 6: ("und", 0.0), 7: ("und", 0.0)}
+        assert langid.identify_documents(docs.limit(0), found).count() == 0
+    assert langid.fit_text_model(spark.createDataFrame([], schema)).languages == ["und"]
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    many = spark.createDataFrame([(i, f"text {i}", f"l{min(i, 5)}", "s") for i in range(9)], schema)
+    assert langid.fit_text_model(many).languages == ["l0", "l1", "l5"]
+
+
+def test_query_on_an_empty_table(spark, tmp_path):
+    from lettermill.llm.queries import QUERIES
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "http://a.de/", "<p>x")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert [(r["page_id"], r["lang"], r["posterior"]) for r in QUERIES["op3_langid"](spark, str(tmp_path)).collect()] == [(1, "und", 0.0)]

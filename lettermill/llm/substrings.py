@@ -1,13 +1,12 @@
-"""Repeated word sequences found by factoring every document against the indexed corpus.
-
-The reference is the corpus itself, cut by content into blocks: a block is a
-run of consecutive windows (of ``window`` words) that share one anchor, the
-smallest hash among the grams inside each window. Equal windows choose the
-same anchor, so they lie in blocks with the same anchor hash, wherever they
-occur. A document is parsed from left to right into its blocks. A block whose
-whole word sequence occurs earlier is one long factor. Elsewhere factors end
-inside a block; there, at the factor boundaries, each window is looked up by
-itself. Every factor has at least ``window`` words and is a duplicate span.
+"""Repeated word sequences found by hashes of content-cut blocks, then of single windows.
+
+The corpus is cut by content into blocks: a block is a run of consecutive
+windows (of ``window`` words) that share one anchor, the smallest hash among
+the grams inside each window. Equal windows choose the same anchor, so they lie
+in blocks with the same anchor hash, wherever they occur. A block whose whole
+word sequence occurs earlier is a duplicate span as it is. Of the other blocks
+every window is looked up by itself. There is no greedy longest-match parse:
+no match is extended against a reference.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettermill.llm.words import Words, mix, run_hashes, slices, split_words, text_bytes, word_hashes
@@ -64,7 +63,9 @@ class Blocks:
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("i"), F.col(text_col).alias("t"))
+    """Id, text and the text's hash: rows of one id, or of none, are one document only if their texts are equal."""
+    text = F.col(text_col)
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("i"), F.xxhash64(text).alias("h"), text.alias("t"))
 
 
 def anchor_counts(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -118,7 +119,7 @@ def repeated_anchor_filter(counts: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def candidate_blocks(docs: DataFrame, bits: np.ndarray, address: int, window: int, gram: int) -> DataFrame:
-    """Blocks whose anchor passes the filter: ``(key, doc, start, n, windows, known)``.
+    """Blocks whose anchor passes the filter: ``(key, doc, version, start, n, windows, known)``.
 
     ``key`` is the hash of the block's words. A task first judges its blocks and
     windows among themselves: all but the first of equal ones are duplicates
@@ -137,12 +138,12 @@ def candidate_blocks(docs: DataFrame, bits: np.ndarray, address: int, window: in
         if held:
             yield _judged(held)
 
-    schema = "key long, doc long, start int, n int, windows array<long>, known boolean"
+    schema = "key long, doc long, version long, start int, n int, windows array<long>, known boolean"
     return docs.mapInArrow(find, schema)
 
 
 def _candidates(batch: pa.RecordBatch, bits: np.ndarray, address: int, window: int, gram: int):
-    """Block key, document, first window in the document, number of windows; and the hashes of all their windows."""
+    """Block key, document and its text's hash, first window in it, number of windows; and the hashes of all their windows."""
     words = split_words(batch.column("t"))
     blocks = Blocks(words, window, gram)
     slot = blocks.anchor >> np.uint64(64 - address)
@@ -150,41 +151,43 @@ def _candidates(batch: pa.RecordBatch, bits: np.ndarray, address: int, window: i
     keep = keep.astype(bool)
     first, size, row = blocks.first[keep], blocks.size[keep], blocks.row[keep]
     at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    doc = batch.column("i").to_numpy()[row] if len(row) else np.zeros(0, np.int64)
+    doc, version = (batch.column(c).to_numpy()[row] if len(row) else np.zeros(0, np.int64) for c in ("i", "h"))
     return (
         run_hashes(blocks.hashes, first, first + size + window - 1),
-        doc, first - words.first[row], size, run_hashes(blocks.hashes, at, at + window),
+        doc, version, first - words.first[row], size, run_hashes(blocks.hashes, at, at + window),
     )
 
 
-def _later(key: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Which items have an equal key at a smaller (doc, start)."""
-    order = np.lexsort((start, doc, key))
-    k, d, s = key[order], doc[order], start[order]
-    new = np.ones(len(k), bool)
+def _later(key: np.ndarray, doc: np.ndarray, version: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which items have an equal key in a smaller doc, or earlier in the same text of the same doc."""
+    order = np.lexsort((start, version, doc, key))
+    k, d, v, s = key[order], doc[order], version[order], start[order]
+    new, fresh = np.ones(len(k), bool), np.ones(len(k), bool)
     new[1:] = k[1:] != k[:-1]
-    head = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
+    fresh[1:] = new[1:] | (d[1:] != d[:-1]) | (v[1:] != v[:-1])
+    first = lambda heads: np.maximum.accumulate(np.where(heads, np.arange(len(k)), 0))
     later = np.zeros(len(k), bool)
-    later[order] = (d != d[head]) | (s != s[head])
+    later[order] = (d != d[first(new)]) | (s != s[first(fresh)])
     return later
 
 
 def _judged(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    key, doc, start, size, windows = (np.concatenate(x) for x in zip(*held))
+    key, doc, version, start, size, windows = (np.concatenate(x) for x in zip(*held))
     bounds = np.append(0, np.cumsum(size))
-    known = _later(key, doc, start)
+    known = _later(key, doc, version, start)
     ahead = np.repeat(~known, size)  # windows of blocks that are not duplicates here
-    w_doc = np.repeat(doc, size)[ahead]
+    w_doc, w_version = np.repeat(doc, size)[ahead], np.repeat(version, size)[ahead]
     w_start = (np.repeat(start - bounds[:-1], size) + np.arange(bounds[-1]))[ahead]
     w_known = np.zeros(bounds[-1], bool)
-    w_known[ahead] = _later(windows[ahead], w_doc, w_start)
-    runs_doc, runs_start = w_doc[w_known[ahead]], w_start[w_known[ahead]]
+    w_known[ahead] = _later(windows[ahead], w_doc, w_version, w_start)
+    runs_doc, runs_version, runs_start = (x[w_known[ahead]] for x in (w_doc, w_version, w_start))
     head = np.ones(len(runs_doc), bool)
-    head[1:] = (runs_doc[1:] != runs_doc[:-1]) | (runs_start[1:] != runs_start[:-1] + 1)
+    head[1:] = (runs_doc[1:] != runs_doc[:-1]) | (runs_version[1:] != runs_version[:-1]) | (runs_start[1:] != runs_start[:-1] + 1)
     heads = np.flatnonzero(head)
     # rows: open blocks with their windows, then known blocks and known runs of windows
     open_size = size[~known]
     docs = np.concatenate((doc[~known], doc[known], runs_doc[heads]))
+    versions = np.concatenate((version[~known], version[known], runs_version[heads]))
     starts = np.concatenate((start[~known], start[known], runs_start[heads]))
     sizes = np.concatenate((open_size, size[known], np.diff(np.append(heads, len(runs_doc)))))
     n_open, n_known = len(open_size), len(docs) - len(open_size)
@@ -193,44 +196,50 @@ def _judged(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     values = pa.array(windows[ahead].view(np.int64), mask=w_known[ahead])
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(keys.view(np.int64)), pa.array(docs), pa.array(starts.astype(np.int32)), pa.array(sizes.astype(np.int32)),
+            pa.array(keys.view(np.int64)), pa.array(docs), pa.array(versions), pa.array(starts.astype(np.int32)), pa.array(sizes.astype(np.int32)),
             pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(np.arange(len(docs)) >= n_open),
         ],
-        ["key", "doc", "start", "n", "windows", "known"],
+        ["key", "doc", "version", "start", "n", "windows", "known"],
     )
 
 
 def duplicate_factors(
     docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Factors ``(doc, start, n)``: ``n`` windows from word ``start`` whose words also start earlier.
+    """Factors ``(doc, version, start, n)``: ``n`` windows from word ``start`` whose words also start earlier.
 
     Earlier is a smaller id, or the same document at a smaller word number. The
     factors of a document cover all such windows; they may touch or overlap.
-    ``doc`` is the id, ``LAST_ID`` for a null id. Sequences are compared by
-    64-bit hashes of their words.
+    ``doc`` is the id, ``LAST_ID`` for a null id, ``version`` the hash of the text.
+    Sequences are compared by 64-bit hashes of their words.
     """
     texts = _narrow(docs, id_col, text_col)
     bits, address = repeated_anchor_filter(anchor_counts(texts, window, gram))
     blocks = candidate_blocks(texts, bits, address, window, gram)
-    place = ("doc", "start")
     judged = staged(
-        blocks.withColumn("rank", F.rank().over(Window.partitionBy("key").orderBy(*place)))
-        .withColumn("factor", F.col("known") | (F.col("rank") > 1))
+        blocks.withColumn("factor", F.col("known") | _is_later("key"))
         .withColumn("windows", F.when(~F.col("factor"), F.col("windows")))
-        .drop("key", "rank", "known"),
+        .drop("key", "known"),
         "blocks",
     )
+    place = ("doc", "version", "start")
     single = (
         judged.filter(~F.col("factor"))
-        .select("doc", "start", F.posexplode("windows").alias("at", "hash"))
+        .select(*place, F.posexplode("windows").alias("at", "hash"))
         .filter("hash is not null")
-        .select("doc", (F.col("start") + F.col("at")).alias("start"), "hash")
-        .withColumn("rank", F.rank().over(Window.partitionBy("hash").orderBy(*place)))
-        .filter("rank > 1")
-        .select("doc", "start", F.lit(1).alias("n"))
+        .select("doc", "version", (F.col("start") + F.col("at")).alias("start"), "hash")
+        .withColumn("later", _is_later("hash"))
+        .filter("later")
+        .select(*place, F.lit(1).alias("n"))
     )
-    return judged.filter("factor").select("doc", "start", "n").union(single)
+    return judged.filter("factor").select(*place, "n").union(single)
+
+
+def _is_later(key: str) -> Column:
+    """``_later`` over the cluster: one shuffle and one sort by the key serve both windows."""
+    every = Window.partitionBy(key).orderBy("doc", "version", "start")
+    same = Window.partitionBy(key, "doc", "version").orderBy("start")
+    return (F.col("doc") > F.first("doc").over(every)) | (F.rank().over(same) > 1)
 
 
 def remove_factors(
@@ -241,10 +250,13 @@ def remove_factors(
     The text keeps its white space where no word goes; a removed run goes with
     the space behind it. ``kept_sha256`` is of the kept words joined by a space.
     """
-    spans = factors.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("start").alias("_starts"), F.collect_list("n").alias("_sizes"))
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
+    spans = factors.groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_text")).agg(
+        F.collect_set(F.struct("start", "n")).alias("_spans")  # of one text; its copies have the same
+    )
+    spans = spans.select("_doc", "_text", F.col("_spans.start").alias("_starts"), F.col("_spans.n").alias("_sizes"))
     added = ("n_words", "n_removed", "kept_sha256")
-    kept = docs.drop(*added).withColumn("_key", key).join(spans, F.col("_key") == F.col("_doc"), "left")
+    kept = docs.drop(*added).withColumn("_key", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)))
+    kept = kept.join(spans, (F.col("_key") == F.col("_doc")) & (F.xxhash64(text_col) == F.col("_text")), "left")
     names = [c for c in docs.columns if c not in added]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,9 +302,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     """Every row of ``docs`` less the words covered by a window that also starts earlier.
 
     Windows are judged on the input. Null and short texts lose nothing; a null
-    text stays null and has the digest of no words. Repeated rows of one id are
-    one document to each other. Rows without an id come after all others, and
-    all of them count as one document. Rows of one id with different texts share their
-    spans. Other columns stay; an input column named like an added one is replaced.
+    text stays null and has the digest of no words. Rows of one id are not earlier
+    than each other: repeated rows are one document, different texts are judged
+    each by itself. So are rows without an id, which come after all others.
+    Other columns stay; an input column named like an added one is replaced.
     """
     return remove_factors(docs, duplicate_factors(docs, window, GRAM, id_col, text_col), window, id_col, text_col)

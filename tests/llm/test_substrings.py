@@ -77,3 +77,33 @@ def test_collisions_in_the_filter_change_nothing(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substrings.without_repeats(df).collect()}
     assert got == plain(rows, 20)
+
+
+def plain_rows(rows, window=20):
+    """Kept words of every row; rows of one id, or of none, are never earlier than each other."""
+    seen = {}
+    words = [(10**18 if i is None else i, (t or "").split()) for i, t in rows]
+    for n, (doc, ws) in enumerate(words):
+        for at in range(len(ws) - window + 1):
+            seen.setdefault(tuple(ws[at : at + window]), []).append((doc, n, at))
+    kept = []
+    for n, (doc, ws) in enumerate(words):
+        gone = set()
+        for at in range(len(ws) - window + 1):
+            if any(d < doc or (m == n and s < at) for d, m, s in seen[tuple(ws[at : at + window])]):
+                gone.update(range(at, at + window))
+        kept.append((rows[n][0], " ".join(w for k, w in enumerate(ws) if k not in gone)))
+    return sorted(kept, key=str)
+
+
+@pytest.mark.parametrize("flush", [2_000_000, 1])
+def test_different_texts_of_one_id_or_none(spark, monkeypatch, flush):
+    monkeypatch.setattr(substrings, "FLUSH_WINDOWS", flush)
+    run = lambda c, n: [f"{c}{k}" for k in range(n)]
+    rows = [(1, " ".join(run("a", 25))), (None, " ".join(run("a", 25) + run("x", 15))), (None, " ".join(run("u", 40)))]
+    rows += [(None, " ".join(run("x", 5) + run("u", 40) + run("u", 40))), (7, " ".join(run("u", 30))), (7, " ".join(run("a", 22) + run("v", 30)))]
+    rows += [(7, " ".join(run("v", 30) + run("z", 3))), (7, " ".join(run("v", 30) + run("z", 3))), (9, " ".join(run("v", 30) * 2)), (None, None), (None, "")]
+    got = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted(((r["doc_id"], " ".join((r["text"] or "").split())) for r in got), key=str) == plain_rows(rows)
+    unique = next(r for r in got if "x14" in (r["text"] or ""))
+    assert (unique["n_words"], unique["n_removed"]) == (40, 25)

@@ -11,6 +11,8 @@ from lettermill.session import staged
 
 CONTAINMENT = 0.85  # share of a template's words that a block of text must hold
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BLANK = SEPARATORS.removesuffix("+") + "*"
+PARAGRAPH_END = f"\n{BLANK}\n"  # lines without a word part paragraphs
 
 # Phrases with their labels, and public licence notices with theirs.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -29,9 +31,19 @@ TEMPLATES = [
 ]
 
 
+def lowered(text: Column) -> Column:
+    """Text with A-Z in lower case, and nothing else made ASCII; null is empty.
+
+    Of all other characters only two have ASCII letters in their lower case;
+    they are put aside first. Other scripts never count, so their case does not matter.
+    """
+    text = F.replace(F.coalesce(text, F.lit("")), F.lit("\u0130"), F.lit("\u0131"))
+    return F.lower(F.replace(text, F.lit("\u212A"), F.lit("\u0138")))
+
+
 def spaced(text: Column) -> Column:
     """Lower-cased words joined by single spaces; empty for null or wordless texts."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS, " "))
+    return F.trim(F.regexp_replace(lowered(text), SEPARATORS, " "))
 
 
 def n_words(words: Column) -> Column:
@@ -75,14 +87,16 @@ def phrase_places(docs: DataFrame, phrases: dict[str, str], text_col: str = "tex
 def similar_blocks(
     docs: DataFrame, templates: list[tuple[str, str]], containment: float = CONTAINMENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(doc, line, template, label, share)`` of every line that holds at least ``containment`` of a template's words.
+    """``(doc, block, template, label, share)`` of every block that holds at least ``containment`` of a template's words.
 
-    Words are ordered by the number of lines that hold them, rarest first. A
-    line that shares enough words with a template shares one of its first
-    ``words - needed + 1``; only these are joined. Lines with fewer template
+    A block is a paragraph, a run of lines with words in them; so a notice is
+    found however it is wrapped, also behind comment marks, and a single line in
+    it counts as well. Words are ordered by the number of blocks that hold them,
+    rarest first. A block that shares enough words with a template shares one of
+    its first ``words - needed + 1``; only these are joined. Blocks with fewer template
     words than needed, and pairs whose place in the order leaves too few words
     behind it, are dropped before the sets are compared. Words outside all
-    templates never count, so lines are kept as their template words alone, and
+    templates never count, so blocks are kept as their template words alone, and
     all tables that are broadcast have the size of the templates.
     """
     spark = docs.sparkSession
@@ -90,10 +104,10 @@ def similar_blocks(
     vocabulary = sorted({w for ws in words for w in ws})
     needed = [ceil(containment * len(ws) - 1e-9) for ws in words]
     known = F.array(*[F.lit(w) for w in vocabulary])
-    line = F.col(text_col)
-    lines = docs.select(F.col(id_col).alias("doc"), F.posexplode(F.split(F.coalesce(line, F.lit("")), "\n")).alias("line", "t"))
+    paragraphs = F.split(lowered(F.col(text_col)), PARAGRAPH_END)
+    cut = docs.select(F.col(id_col).alias("doc"), F.posexplode(paragraphs).alias("block", "t"))
     blocks = staged(
-        lines.select("doc", "line", F.array_intersect(F.split(spaced(F.col("t")), " "), known).alias("words")).filter(F.size("words") > 0),
+        cut.select("doc", "block", F.array_intersect(F.split("t", SEPARATORS), known).alias("words")).filter(F.size("words") > 0),
         "licence-blocks",
     )
     counts = dict(blocks.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1))).collect())  # one row a template word
@@ -109,17 +123,17 @@ def similar_blocks(
     sorted_words = F.array_sort(F.transform("words", lambda w: F.struct(F.element_at(ranks, w).alias("r"), w.alias("w"))))
     candidates = (
         blocks.filter((F.size("words") >= min(needed, default=1)) & F.arrays_overlap("words", first))
-        .select("doc", "line", "words", F.posexplode(sorted_words).alias("j", "x"))
-        .select("doc", "line", "words", "j", F.col("x.w").alias("w"))
+        .select("doc", "block", "words", F.posexplode(sorted_words).alias("j", "x"))
+        .select("doc", "block", "words", "j", F.col("x.w").alias("w"))
         .join(F.broadcast(prefixes), "w")
         .filter(F.size("words") >= F.col("needed"))
         .filter(1 + F.least(F.col("n") - 1 - F.col("i"), F.size("words") - 1 - F.col("j")) >= F.col("needed"))
     )
     share = F.size(F.array_intersect("words", "set")) / F.col("n")
     return (
-        candidates.select("doc", "line", "template", "label", share.alias("share"), "n", "needed")
+        candidates.select("doc", "block", "template", "label", share.alias("share"), "n", "needed")
         .filter(F.round(F.col("share") * F.col("n")) >= F.col("needed"))
-        .select("doc", "line", "template", "label", "share")
+        .select("doc", "block", "template", "label", "share")
         .distinct()
     )
 
@@ -128,10 +142,10 @@ def scan(docs: DataFrame, containment: float = CONTAINMENT, id_col: str = "doc_i
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score)`` of every row.
 
     ``base_*`` and the places are those of ``PHRASES``; ``labels`` adds those of
-    similar lines. The score is 1 where a phrase stands, else the largest share
-    of a template in a line that reaches ``containment``, else 0. Null and
+    similar paragraphs. The score is 1 where a phrase stands, else the largest share
+    of a template in a paragraph that reaches ``containment``, else 0. Null and
     empty texts have no words, null places and empty labels. Repeated rows stay;
-    rows of one id (or of none) share the labels of their lines. Other columns are not read.
+    rows of one id (or of none) share the labels of their paragraphs. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     base = phrase_places(rows, PHRASES)

@@ -7,6 +7,9 @@ import string
 from lettermill.llm.licenses import CONTAINMENT, PHRASES, SEPARATORS, TEMPLATES, template_words
 
 
+_LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+
 def _licenses() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     templates = ", ".join(
@@ -14,7 +17,7 @@ def _licenses() -> str:
         for t, ((label, _), words) in enumerate(zip(TEMPLATES, template_words(TEMPLATES)))
     )
     phrases = ", ".join(f"({quote(p)}, {quote(label)}, {len(p.split())})" for p, label in PHRASES.items())
-    spaced = f"trim(regexp_replace(lower(coalesce({{}}, '')), '{SEPARATORS}', ' ', 'g'))"
+    spaced = f"trim(regexp_replace({_LOWER.replace('text', '{}')}, '{SEPARATORS}', ' ', 'g'))"
     return f"""
 with templates(t, label, words) as (values {templates}),
 phrases(phrase, label, n) as (values {phrases}),
@@ -26,8 +29,16 @@ places as (
   where ws[i] = split_part(phrase, ' ', 1) and array_to_string(ws[i : i + n - 1], ' ') = phrase
 ),
 base as (select doc_id, count(*) as n_base, min(place) as first_word, max(place) as last_word from places group by doc_id),
-lines as (select doc_id, {spaced.format("unnest(string_split(coalesce(text, ''), chr(10)))")} as w from documents),
-blocks as (select doc_id, list_distinct(string_split(w, ' ')) as ws from lines where w <> ''),
+lines as (
+  select row, doc_id, i, {spaced.format("line")} as w
+  from (select row, doc_id, unnest(range(1, len(ls) + 1)) as i, unnest(ls) as line from (
+    select row_number() over () as row, doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents))
+),
+numbered as (select *, sum(case when w = '' then 1 else 0 end) over (partition by row order by i) as paragraph from lines),
+blocks as (
+  select any_value(doc_id) as doc_id, list_distinct(string_split(string_agg(w, ' '), ' ')) as ws
+  from numbered where w <> '' group by row, paragraph
+),
 alike as (
   select doc_id, label, len(list_intersect(ws, words)) / len(words) as share from blocks, templates
   where len(list_intersect(ws, words)) >= {CONTAINMENT} * len(words) - 1e-9
@@ -46,7 +57,6 @@ from words left join base using (doc_id) left join named using (doc_id) left joi
 """
 
 
-_LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 _LEXICAL = f"""

@@ -6,7 +6,7 @@ aggregated rows, never the data. Empty input gives NULL averages.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lettermill.functions.text import is_blank
@@ -21,18 +21,49 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def processing_stats(judged: DataFrame) -> DataFrame:
-    """Run counters from ``status`` and ``n_words``; words count accepted rows only."""
+COUNTERS = ("total", "processed", "skipped_empty", "skipped_short", "failed", "total_words")
+
+
+def counters() -> list[Column]:
+    """Aggregates of ``COUNTERS`` over ``status`` and ``n_words``; words count accepted rows only."""
     ok = F.col("status") == "ok"
-    return judged.agg(
+    return [
         _rows().alias("total"),
         F.count_if(ok).alias("processed"),
         F.count_if(F.col("status") == "empty").alias("skipped_empty"),
         F.count_if(F.col("status") == "short").alias("skipped_short"),
         F.count_if(F.col("status") == "error").alias("failed"),
         F.coalesce(F.sum(F.when(ok, F.col("n_words"))), F.lit(0)).cast("long").alias("total_words"),
-        F.avg(F.when(ok, F.col("n_words"))).alias("avg_words"),
-    )
+    ]
+
+
+def processing_stats(judged: DataFrame) -> DataFrame:
+    """Run counters from ``status`` and ``n_words``."""
+    return stats_of_counters(judged.agg(*counters()))
+
+
+def stats_of_counters(counted: DataFrame) -> DataFrame:
+    """Run counters from rows of ``COUNTERS``, such as those of single mailboxes."""
+    sums = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in COUNTERS])
+    average = F.try_divide(F.col("total_words").cast("double"), F.col("processed").cast("double"))
+    return sums.withColumn("avg_words", average)
+
+
+def with_observed_counters(judged: DataFrame) -> tuple[DataFrame, Observation]:
+    """``judged`` with counters that are taken as its rows are written, so that no second read is needed.
+
+    Write the result as it is: each partition then counts once, when its task
+    first succeeds, however often tasks are retried. A shuffle in between could
+    count the rows of a stage that runs again.
+    """
+    seen = Observation("run counters")
+    return judged.observe(seen, *counters()), seen
+
+
+def observed_stats(spark: SparkSession, seen: Observation) -> DataFrame:
+    """Run counters of a DataFrame that has been written; waits for the write."""
+    row = seen.get
+    return stats_of_counters(spark.createDataFrame([tuple(row[c] for c in COUNTERS)], ", ".join(f"{c} long" for c in COUNTERS)))
 
 
 def language_distribution(df: DataFrame, language: str = "language", within: tuple[str, ...] = ()) -> DataFrame:

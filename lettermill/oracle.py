@@ -346,12 +346,12 @@ _PART_ROWS = [
 _CORPUS = f"""
     with emails as ({views.EMAILS}),
     texts as (
-      select subject, source, case doc_id % 4 when 0 then regexp_replace(body, '(?m)^From ', '>From ', 'g') when 1 then body
+      select doc_id, subject, source, case doc_id % 4 when 0 then regexp_replace(body, '(?m)^From ', '>From ', 'g') when 1 then body
         when 2 then {_html_body("regexp_replace('" + views.HTML_BODY.split("{}")[0] + "' || body || '" + views.HTML_BODY.split("{}")[1] + "', '(?m)^From ', '>From ', 'g')")}
         end as body from emails),
-    cut as (select subject, source, body, {_lines(CUT.format(t="coalesce(body, '')"))} as ls from texts),
-    cleaned as (select subject, source, body, {_normal(_join(_KEPT))} as clean from cut),
-    judged as (select subject, source, clean, {_n_words('clean')} as n_words,
+    cut as (select doc_id, subject, source, body, {_lines(CUT.format(t="coalesce(body, '')"))} as ls from texts),
+    cleaned as (select doc_id, subject, source, body, {_normal(_join(_KEPT))} as clean from cut),
+    judged as (select doc_id, subject, source, clean, {_n_words('clean')} as n_words,
       case when body is null or body = '' then 'empty' when {_n_words('clean')} < {fv.MIN_WORDS} then 'short' else 'ok' end as status
       from cleaned)
 """
@@ -472,6 +472,15 @@ ORACLE: dict[str, str] = {
         )
     ),
     "corpus_build": _CORPUS + _STATS,
+    "corpus_update": _CORPUS
+    + """, kept as (select * from judged where doc_id % 3 <> 0 or ascii(right(source, 1)) % 2 = 0),
+    boxes as (select 'source_' || source as mailbox, count(*) as examples, cast(sum(n_words) as bigint) as words from kept where status = 'ok' group by 1),
+    totals as (
+      select count(*) as total, count(*) filter (where status = 'ok') as processed,
+        cast(sum(n_words) filter (where status = 'ok') as bigint) as total_words from kept),
+    grown as (
+      select count(distinct source) as rebuilt, cast(0 as bigint) as removed from judged where doc_id % 3 = 0 and ascii(right(source, 1)) % 2 = 0)
+    select * from boxes, totals, grown""",
     "corpus_read": _CORPUS
     + "select 'source_' || source as mailbox, subject, clean as content, cast(n_words as int) as word_count from judged where status = 'ok'",
     "header_projection": _query("select doc_id, subject, to_addr from emails", "emails"),

@@ -9,7 +9,7 @@ from lettermill.operators.bodies import header_projection, nested_body
 from lettermill.operators.examples import build_examples
 from lettermill.operators.filtering import with_status
 from lettermill.operators.language import LanguageModel, map_language
-from lettermill.operators.reports import processing_stats
+from lettermill.operators.reports import observed_stats, with_observed_counters
 from lettermill.operators.splitting import train_val_split
 from lettermill.session import scratch_path, staged
 from lettermill.sources.jsonl import write_examples
@@ -44,8 +44,8 @@ def build_corpus(
 ) -> DataFrame:
     """Mailboxes to ``output/mailbox=.../*.json``; returns the run counters.
 
-    Judged messages are written once; counters, the language report and the
-    corpus read that table, so nothing expensive runs twice and a lost executor
+    Judged messages are written once, and counted as they are written; the
+    corpus reads that table, so nothing expensive runs twice and a lost executor
     repeats one stage only. With a ``limit`` parsed messages are written first,
     because their places in the mailbox are counted. ``output/_mailboxes``
     holds the whole path of every mailbox name. No mailbox at all is an error.
@@ -56,12 +56,13 @@ def build_corpus(
         messages = with_message_index(messages, limit)
     else:
         messages = read_messages(spark, mailboxes, any_name=any_name)
-    judged = staged(judge_messages(messages, model).select(*JUDGED_COLUMNS), "judged")
+    judged, seen = with_observed_counters(judge_messages(messages, model).select(*JUDGED_COLUMNS))
+    judged = staged(judged, "judged")
     named = judged.filter(F.col("status") == "ok").withColumn("mailbox", mailbox_key(F.col("source")))
     write_examples(build_examples(named, keep=("mailbox",)), output, by="mailbox")
     boxes = judged.select("source").distinct().withColumn("mailbox", mailbox_key(F.col("source")))
     boxes.write.parquet(f"{output.rstrip('/')}/_mailboxes")
-    return processing_stats(judged)
+    return observed_stats(spark, seen)
 
 
 def split_corpus(examples: DataFrame, output: str, ratio: float, seed: int, id_col: str | None = None) -> None:

@@ -23,6 +23,7 @@ from lettermill.functions.html import html_to_text
 from lettermill.functions.text import ellipsize, word_count
 from lettermill.operators import bodies, chats, examples, filtering, grouped_split as grouping, language, reports, sequences, splitting, style
 from lettermill.plans.corpus import build_corpus
+from lettermill.plans.incremental import update_corpus
 from lettermill.session import scratch_path, staged
 from lettermill.sources import jsonl, mailbox
 from lettermill.views import emails, mail_records, parts, table, turns
@@ -111,6 +112,21 @@ def corpus_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def corpus_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corpus after a first build and an update: some mailboxes got the messages that were left out at first."""
+    records, boxes, path = mail_records(spark, sf_dir), scratch_path(spark, "mailboxes"), scratch_path(spark, "corpus")
+    model, late = _model(spark, sf_dir), F.col("doc_id") % 3 == 0
+    mailbox.write_mailboxes(records.filter(~late), boxes, "source", "doc_id")
+    update_corpus(spark, boxes, path, model)
+    grown = F.ascii(F.substring_index("source", ".mbox", 1).substr(-1, 1)) % 2 == 0
+    mailbox.write_mailboxes(records.filter(late & grown), boxes, "source", "doc_id", mode="append")
+    stats = update_corpus(spark, boxes, path, model)
+    read = jsonl.read_examples(spark, path).groupBy(F.regexp_extract("mailbox", "^(.*)-[0-9a-f]{8}$", 1).alias("mailbox")).agg(
+        F.count(F.lit(1)).alias("examples"), F.sum("metadata.word_count").cast("long").alias("words")
+    )
+    return read.join(F.broadcast(stats.select("total", "processed", "total_words", "rebuilt", "removed")))  # one row
+
+
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "examples")
     jsonl.write_examples(_examples(spark, sf_dir), path)
@@ -478,6 +494,7 @@ QUERIES: dict[str, Query] = {
     "mime_parts": mime_parts,
     "corpus_build": corpus_build,
     "corpus_read": corpus_read,
+    "corpus_update": corpus_update,
     "header_projection": header_projection,
     "drop_attachments": drop_attachments,
     "choose_body": choose_body,

@@ -48,9 +48,12 @@ def write_examples(df: DataFrame, path: str, by: str | None = None, mode: str =
     ``by`` makes one folder per value (mailbox, split). The rebalance hint lets
     the adaptive planner split a value that holds most rows over several files and
     put small values together, which a plain repartition by the column cannot.
+    The mode ``dynamic`` replaces the folders of the values that ``df`` holds and no others.
     """
     rows = df.hint("rebalance", by) if by else df
-    writer = rows.write.mode(mode).option("ignoreNullFields", "false")
+    writer = rows.write.mode("overwrite" if mode == "dynamic" else mode).option("ignoreNullFields", "false")
+    if mode == "dynamic":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(by) if by else writer).json(path)
 
 

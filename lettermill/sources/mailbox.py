@@ -69,8 +69,8 @@ def check_mailboxes(spark: SparkSession, path: str, any_name: bool = False) -> N
         raise FileNotFoundError(f"no mailbox below {path}")
 
 
-def find_mailboxes(spark: SparkSession, path: str) -> DataFrame:
-    """Mailbox files below ``path``, each once, with their size; contents are not read."""
+def mailbox_files(spark: SparkSession, path: str) -> DataFrame:
+    """Mailbox files below ``path``, each once, with size and time of change; contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -78,15 +78,21 @@ def find_mailboxes(spark: SparkSession, path: str) -> DataFrame:
         .load(path)
     )
     path_name = F.regexp_replace("path", "^file:/+", "file:/")  # this reader gives it unescaped
-    return files.select(_source(path_name).alias("source"), path_name.alias("file"), "length").filter(
-        F.col("file").rlike(MAILBOX_FILE)
-    )
+    return files.select(
+        _source(path_name).alias("source"), path_name.alias("file"), "length", F.col("modificationTime").alias("modified")
+    ).filter(F.col("file").rlike(MAILBOX_FILE))
+
+
+def find_mailboxes(spark: SparkSession, path: str) -> DataFrame:
+    """Mailbox files below ``path``, each once, with their size; contents are not read."""
+    return mailbox_files(spark, path).drop("modified")
 
 
-def scan_mailboxes(spark: SparkSession, path: str, any_name: bool = False) -> DataFrame:
+def scan_mailboxes(spark: SparkSession, path: str | list[str], any_name: bool = False) -> DataFrame:
     """Raw records ``(source, file, block_start, last_block, raw)`` in file order inside each block.
 
     ``any_name`` reads every file below ``path`` as a mailbox, whatever it is called.
+    A list holds mailbox files.
     """
     reader = spark.read.option("lineSep", SEPARATOR).option("recursiveFileLookup", "true")
     if not any_name:
@@ -99,7 +105,7 @@ def scan_mailboxes(spark: SparkSession, path: str, any_name: bool = False) -> Da
         (start + F.col("_metadata.file_block_length") == F.col("_metadata.file_size")).alias("last_block"),
         F.col("value").cast("binary").alias("raw"),
     )
-    inside = any_name or path.rstrip("/").endswith((".mbox", "/mbox"))
+    inside = any_name or (isinstance(path, str) and path.rstrip("/").endswith((".mbox", "/mbox")))
     return records if inside else records.filter(F.col("file").rlike(MAILBOX_FILE))
 
 
@@ -191,7 +197,7 @@ def _parser(schema: pa.Schema, limit: int | None):
 
 
 def read_messages(
-    spark: SparkSession, path: str, limit: int | None = None, any_name: bool = False
+    spark: SparkSession, path: str | list[str], limit: int | None = None, any_name: bool = False
 ) -> DataFrame:
     """Parsed messages, one row each.
 
@@ -256,10 +262,13 @@ def mailbox_record(headers: Column, body: Column) -> Column:
     return F.concat(F.lit("From MAILER-DAEMON Thu Jan  1 00:00:00 1970\n"), headers, F.lit("\n\n"), quoted, end)
 
 
-def write_mailboxes(records: DataFrame, path: str, source: str, order: str, files: int | None = None) -> None:
+def write_mailboxes(
+    records: DataFrame, path: str, source: str, order: str, files: int | None = None, mode: str = "errorifexists"
+) -> None:
     """Write ``record`` texts as mailbox folders ``source=X.mbox`` in the given order.
 
     Ranges of ``order`` become files in name order, so reading gives it back.
+    The mode ``append`` adds files to the mailboxes that are there.
     """
     ranged = records.repartitionByRange(*([files] if files else []), order).sortWithinPartitions(source, order)
-    ranged.select(source, "record").write.partitionBy(source).text(path)
+    ranged.select(source, "record").write.mode(mode).partitionBy(source).text(path)

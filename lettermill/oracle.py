@@ -10,7 +10,8 @@ import re
 
 from lettermill import views
 from lettermill.functions import fixed_values as fv
-from lettermill.queries import BUDGETS, FIRST_PER_SOURCE, LARGE_PER_SOURCE
+from lettermill.operators.sketches import QUANTILES
+from lettermill.queries import BUDGETS, FIRST_PER_SOURCE, LARGE_PER_SOURCE, WORDS_KEPT
 
 
 def _text(value: str) -> str:
@@ -620,6 +621,34 @@ ORACLE: dict[str, str] = {
         select word, count(*) as n from (select unnest({WORDS.format(t='text')}) as word from documents)
         where regexp_full_match(word, '[a-z]{{3,}}') and word not in {_list(fv.STOP_WORDS)}
         group by 1 order by n desc, word limit {fv.TOP_WORDS}""",
+    "merged_top_words": f"""
+        with words as (
+          select source, lang, unnest({WORDS.format(t='text')}) as item from documents),
+        counts as (
+          select source, lang, item, count(*) as n from words
+          where regexp_full_match(item, '[a-z]{{3,}}') and item not in {_list(fv.STOP_WORDS)} group by all),
+        ranked as (select *, row_number() over (partition by source, lang order by n desc, item) as place from counts),
+        slacks as (select source, lang, coalesce(max(n) filter (where place = {WORDS_KEPT + 1}), 0) as slack from ranked group by all),
+        whole as (select source, sum(slack) as slack from slacks group by all),
+        merged as (
+          select source, item, sum(n) as n, any_value(whole.slack) - sum(slacks.slack) as missed
+          from ranked join slacks using (source, lang) join whole using (source) where place <= {WORDS_KEPT} group by all),
+        again as (select *, row_number() over (partition by source order by n + missed desc, n desc, item) as place from merged),
+        outside as (
+          select source, greatest(any_value(whole.slack), coalesce(max(n + missed) filter (where place = {WORDS_KEPT + 1}), 0)) as slack
+          from again join whole using (source) group by all),
+        kept as (select * from again where place <= {WORDS_KEPT}),
+        best as (select *, row_number() over (partition by source order by n desc, item) as top from kept)
+        select source, item, cast(n as bigint) as lower, cast(n + missed as bigint) as upper,
+          (select count(*) from kept where kept.source = best.source and kept.item <> best.item and kept.n + kept.missed > best.n) < {fv.TOP_WORDS}
+            and slack <= n as certain
+        from best join outside using (source) where top <= {fv.TOP_WORDS}""",
+    "length_quantiles": f"""
+        select source, count(*) as texts, q as quantile, cast(max(n) filter (where place = greatest(1, ceil(q * total))) as bigint) as n_words
+        from (select source, n, row_number() over (partition by source order by n) as place, count(*) over (partition by source) as total
+          from (select source, {_n_words('text')} as n from documents where {_strip('text')} <> '')),
+          (select unnest([{', '.join(f'cast({q} as double)' for q in QUANTILES)}]) as q)
+        group by source, q""",
     "sample_texts": f"""
         select doc_id, {_cut_text('body', fv.SAMPLE_DISPLAY_CHARS)} as sample from (
           select doc_id, {_strip('text')} as body from documents where {_strip('text')} <> ''

@@ -18,10 +18,12 @@ from lettermill.functions.fixed_values import (
     PHRASE_DISPLAY_CHARS,
     SAMPLE_DISPLAY_CHARS,
     SECONDS_PER_STEP,
+    STOP_WORDS,
+    TOP_WORDS,
 )
 from lettermill.functions.html import html_to_text
-from lettermill.functions.text import ellipsize, word_count
-from lettermill.operators import bodies, chats, examples, filtering, grouped_split as grouping, language, reports, sequences, splitting, style
+from lettermill.functions.text import ellipsize, plain_words, word_count
+from lettermill.operators import bodies, chats, examples, filtering, grouped_split as grouping, language, reports, sequences, sketches, splitting, style
 from lettermill.plans.corpus import build_corpus
 from lettermill.plans.incremental import update_corpus
 from lettermill.session import scratch_path, staged
@@ -38,6 +40,7 @@ BUDGETS = [
 ]
 FIRST_PER_SOURCE = 20
 LARGE_PER_SOURCE = 1_200
+WORDS_KEPT = 300
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,6 +367,19 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style.top_words(_documents(spark, sf_dir))
 
 
+def merged_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most frequent words of every source, from summaries kept per source and language."""
+    words = _documents(spark, sf_dir).select("source", "lang", F.explode(plain_words(F.col("text"))).alias("word"))
+    kept = sketches.frequent_items(words.filter(~F.col("word").isin(STOP_WORDS)), ["source", "lang"], "word", WORDS_KEPT)
+    return sketches.most_frequent(sketches.merged_items(kept, ["source"], WORDS_KEPT), ["source"], TOP_WORDS)
+
+
+def length_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of the lengths of every source's texts, from summaries kept per source and language."""
+    kept = sketches.length_sketches(_documents(spark, sf_dir), ["source", "lang"])
+    return sketches.length_quantiles(sketches.merged_lengths(kept, ["source"]), ["source"])
+
+
 def sample_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style.sample_texts(_documents(spark, sf_dir), "doc_id")
 
@@ -539,6 +555,8 @@ QUERIES: dict[str, Query] = {
     "top_openings": top_openings,
     "top_closings": top_closings,
     "top_words": top_words,
+    "merged_top_words": merged_top_words,
+    "length_quantiles": length_quantiles,
     "sample_texts": sample_texts,
     "seeded_shuffle": seeded_shuffle,
     "train_val_split": train_val_split,

@@ -10,6 +10,7 @@ import re
 
 from lettermill import views
 from lettermill.functions import fixed_values as fv
+from lettermill.operators.significance import LEVEL, REPLICATES, STEPS
 from lettermill.operators.sketches import QUANTILES
 from lettermill.queries import BUDGETS, FIRST_PER_SOURCE, LARGE_PER_SOURCE, WORDS_KEPT
 
@@ -403,6 +404,45 @@ def _delta() -> str:
     """
 
 
+def _significance() -> str:
+    low = "lower(body)"
+    measures = {
+        "n_words": "w", "contractions": _hits(low, fv.CONTRACTIONS), "formal": _hits(low, fv.FORMAL_PHRASES),
+        "casual": _hits(low, fv.CASUAL_WORDS), "exclamations": _hits("body", ["!"]), "questions": _hits("body", ["?"]),
+        "is_dutch": f"cast({_any(low, fv.DUTCH_INDICATORS)} as int)", "is_english": f"cast({_any(low, fv.ENGLISH_INDICATORS)} as int)",
+    }
+    steps = ", ".join(map(str, STEPS))
+    means = "\nunion all ".join(
+        f"select '{m}' as measure, b, cast(sum(k * {m}) filter (where role = 'user') as double) / cast(sum(k) filter (where role = 'user') as double) as l, "
+        f"cast(sum(k * {m}) filter (where role = 'assistant') as double) / cast(sum(k) filter (where role = 'assistant') as double) as r from drawn group by b"
+        for m in measures
+    )
+    tail = int(round(REPLICATES * (1 - LEVEL) / 2, 9))
+    return f"""
+    with bodies as (select conv_id, turn, role, {_strip('text')} as body, {_n_words('text')} as w from conversations
+      where {_strip('text')} <> '' and role in ('user', 'assistant')),
+    measured as (select role, concat_ws('-', cast(conv_id as varchar), cast(turn as varchar)) as id, {', '.join(f'{e} as {m}' for m, e in measures.items())} from bodies),
+    digests as (
+      select measured.*, j, md5('{fv.SPLIT_SEED}-' || j || '-' || id) as digest
+      from measured, (select unnest(range({-(-REPLICATES // 8)})) as j)
+    ),
+    bits as (
+      select digests.*, j * 8 + i as b, ('0x' || substr(digest, cast(4 * i + 1 as int), 4))::int as u
+      from digests, (select unnest(range(8)) as i)
+    ),
+    drawn as (
+      select * exclude (j, digest, u), len(list_filter([{steps}], lambda s: u >= s)) as k from bits where b < {REPLICATES}
+      union all
+      select measured.*, -1 as b, 1 as k from measured
+    ),
+    means as ({means}),
+    deltas as (select measure, list(r - l order by r - l) filter (where b >= 0 and r - l is not null) as d from means group by measure)
+    select measure, l as left_value, r as right_value, r - l as delta, d[{tail + 1}] as low, d[len(d) - {tail}] as high,
+      d[{tail + 1}] > 0 or d[len(d) - {tail}] < 0 as different
+    from means join deltas using (measure) where b = -1
+    """
+
+
 GROUPED_SPLIT = r"""
 with recursive texts as (
   select doc_id, trim(regexp_replace(lower(text), '[^\pL\pN]+', ' ', 'g')) as body,
@@ -707,4 +747,5 @@ ORACLE: dict[str, str] = {
         left join conversations t on t.conv_id = u.conv_id and t.turn = u.turn + 3 and t.role = 'assistant'
         where u.role = 'user'""",
     "style_delta": _delta(),
+    "style_significance": _significance(),
 }

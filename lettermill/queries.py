@@ -23,7 +23,7 @@ from lettermill.functions.fixed_values import (
 )
 from lettermill.functions.html import html_to_text
 from lettermill.functions.text import ellipsize, plain_words, word_count
-from lettermill.operators import bodies, chats, examples, filtering, grouped_split as grouping, language, reports, sequences, sketches, splitting, style
+from lettermill.operators import bodies, chats, examples, filtering, grouped_split as grouping, language, reports, sequences, significance, sketches, splitting, style
 from lettermill.plans.corpus import build_corpus
 from lettermill.plans.incremental import update_corpus
 from lettermill.session import scratch_path, staged
@@ -489,6 +489,11 @@ def style_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.style_delta(_turns(spark, sf_dir), "role", "user", "assistant")
 
 
+def style_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn_id = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    return significance.style_significance(_turns(spark, sf_dir), "role", "user", "assistant", turn_id)
+
+
 def usable_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many e-mails are usable in each language, and why were the others not?"""
     accepted = F.col("status") == "ok"
@@ -572,4 +577,5 @@ QUERIES: dict[str, Query] = {
     "extract_reply": extract_reply,
     "compare_responses": compare_responses,
     "style_delta": style_delta,
+    "style_significance": style_significance,
 }

@@ -513,6 +513,11 @@ ORACLE: dict[str, str] = {
         )
     ),
     "corpus_build": _CORPUS + _STATS,
+    "examples_any_shape": """
+        select doc_id, case when doc_id % 4 = 0 then lang end as language, case when doc_id % 4 = 0 then 'Subject ' || doc_id end as subject,
+          text as content, 2 as n_messages, case when doc_id % 4 = 0 then lang end as tag, case when doc_id % 4 = 0 then doc_id end as mark,
+          (select count(*) from documents where doc_id % 4 = 2) as n_rejects
+        from documents where doc_id % 4 <> 2""",
     "corpus_update": _CORPUS
     + """, kept as (select * from judged where doc_id % 3 <> 0 or ascii(right(source, 1)) % 2 = 0),
     boxes as (select 'source_' || source as mailbox, count(*) as examples, cast(sum(n_words) as bigint) as words from kept where status = 'ok' group by 1),

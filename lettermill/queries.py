@@ -130,6 +130,29 @@ def corpus_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.join(F.broadcast(stats.select("total", "processed", "total_words", "rebuilt", "removed")))  # one row
 
 
+def examples_any_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Examples with keys of their own, without metadata and cut off, read, written and read again."""
+    first, second = scratch_path(spark, "any-shape"), scratch_path(spark, "any-shape")
+    text, number = F.col("text"), F.col("doc_id")
+    turn = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    messages = F.array(turn("user", F.col("source")), turn("assistant", text)).alias("messages")
+    mark = F.struct(number.alias("n"), F.array(F.lit("a"), F.col("lang")).alias("tags")).alias("mark")
+    metadata = F.struct(F.col("lang").alias("language"), F.concat(F.lit("Subject "), number).alias("subject"), mark).alias("metadata")
+    shapes = [F.to_json(F.struct(*c)) for c in ((number, messages, metadata), (messages, number), (number, messages))]
+    kind = number % 4
+    line = F.when(kind == 0, shapes[0]).when(kind == 1, shapes[1]).when(kind == 2, F.concat(F.lit("[1, "), shapes[2])).otherwise(shapes[2])
+    _documents(spark, sf_dir).select(line.alias("value")).write.text(first)
+    jsonl.write_any_shape(jsonl.read_any_shape(spark, first), second)
+    rejects = jsonl.read_any_shape(spark, first).filter("value is null").agg(F.count(F.lit(1)).alias("n_rejects"))
+    read = jsonl.known_fields(jsonl.read_any_shape(spark, second)).select(
+        F.variant_get("value", "$.doc_id", "bigint").alias("doc_id"), "metadata.language", "metadata.subject",
+        F.element_at("messages", -1)["content"].alias("content"), F.size("messages").alias("n_messages"),
+        F.try_variant_get("value", "$.metadata.mark.tags[1]", "string").alias("tag"),
+        F.try_variant_get("value", "$.metadata.mark.n", "bigint").alias("mark"),
+    )
+    return read.join(F.broadcast(rejects))  # one row
+
+
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "examples")
     jsonl.write_examples(_examples(spark, sf_dir), path)
@@ -516,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "corpus_build": corpus_build,
     "corpus_read": corpus_read,
     "corpus_update": corpus_update,
+    "examples_any_shape": examples_any_shape,
     "header_projection": header_projection,
     "drop_attachments": drop_attachments,
     "choose_body": choose_body,

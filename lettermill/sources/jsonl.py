@@ -73,3 +73,36 @@ def readable(examples: DataFrame) -> DataFrame:
 
 def rejects(examples: DataFrame) -> DataFrame:
     return examples.filter(F.col("messages").isNull() & F.col(CORRUPT).isNotNull())
+
+
+def read_any_shape(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, _corrupt_record)``: every line as a VARIANT, whatever keys it has.
+
+    Nothing is cut to a schema, so keys that this library does not know pass
+    through ``write_any_shape`` unchanged. A line that is not JSON, repeats a key
+    or is not an object with a list of messages has a null value and is kept
+    in ``_corrupt_record``; blank lines are left out. ``known_fields`` reads the usual columns.
+    """
+    value = F.try_parse_json("line")
+    messages = F.try_variant_get(value, "$.messages", "array<variant>")
+    lines = spark.read.text(path).filter(F.btrim("value") != "").withColumnRenamed("value", "line")
+    good = messages.isNotNull()
+    return lines.select(F.when(good, value).alias("value"), F.when(~good, F.col("line")).alias(CORRUPT))
+
+
+def write_any_shape(examples: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The values as JSON lines again, keys in alphabetical order; rejects are not written."""
+    examples.filter("value is not null").select(F.to_json("value").alias("value")).write.mode(mode).text(path)
+
+
+def known_fields(examples: DataFrame) -> DataFrame:
+    """``examples`` with ``messages`` and ``metadata`` as the fixed schema has them; what a line lacks, or has in another type, is NULL."""
+    message = "struct<role: string, content: string>"
+    fields = {"language": "string", "word_count": "int", "subject": "string"}
+    messages = F.transform(
+        F.try_variant_get("value", "$.messages", "array<variant>"), lambda m: F.try_variant_get(m, "$", message)
+    )
+    metadata = F.struct(*[F.try_variant_get("value", f"$.metadata.{name}", kind).alias(name) for name, kind in fields.items()])
+    held = F.try_variant_get("value", "$.metadata", "variant")
+    has_metadata = held.isNotNull() & ~F.is_variant_null(held)
+    return examples.withColumns({"messages": messages, "metadata": F.when(has_metadata, metadata)})

@@ -215,12 +215,38 @@ def shard_links(classes: DataFrame, n: int, bits: int, tables: int, cosine: floa
     ``SHARD_VECTORS`` members on average, whatever ``n``. A vector is a member
     of one part a table, and asks the parts whose leading bits differ in one
     place; of two parts only the one with the bit set asks. A part with more
-    than ``HOT_PART`` members, such as a large group of near copies, is dealt
-    into blocks: every pair of blocks, and every block of asking vectors with
-    every block of members, is a task of its own.
+    than ``HOT_PART`` members or asking vectors, such as a large group of near
+    copies or the small neighbour of one, is dealt into blocks, members and
+    asking vectors each by their own number: every pair of member blocks, and every
+    block of asking vectors with every block of members, is a task of its own.
     """
-    lead = min(bits, max(0, int(np.ceil(np.log2(max(1, n) / SHARD_VECTORS)))))
-    low_bits = bits - lead
+    low_bits = bits - _lead(n, bits)
+    dealt = deal_parts(classes, n, bits, tables)
+
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("cid", kind="stable")  # the smallest place is the smallest id
+        ids = group["cid"].to_numpy()
+        first = group.iloc[0]
+        linked, groups = link_shard(
+            int(first["table"]), bits, low_bits, np.stack(group["code"].to_numpy()), np.stack(group["v"].to_numpy()),
+            group["w"].to_numpy(), group["probe"].to_numpy(), cosine,
+            group["block"].to_numpy() if 0 <= first["a"] < first["b"] else None, bool(first["a"] >= 0),
+            max_different,
+        )
+        found = np.flatnonzero(linked)
+        return pd.DataFrame({"cid": ids[found], "linked": linked[found], "label": ids[groups.roots(found)]})
+
+    return dealt.groupBy("table", "part", "a", "b").applyInPandas(link, "cid long, linked long, label long")
+
+
+def _lead(n: int, bits: int) -> int:
+    """Leading bits of a key that name its part."""
+    return min(bits, max(0, int(np.ceil(np.log2(max(1, n) / SHARD_VECTORS)))))
+
+
+def deal_parts(classes: DataFrame, n: int, bits: int, tables: int) -> DataFrame:
+    """Every vector in all tasks that compare it: ``(cid, w, code, v, table, part, probe, block, a, b)``."""
+    low_bits = bits - _lead(n, bits)
     targets = []
     for table in range(tables):
         key = F.col("code")[table]
@@ -233,34 +259,23 @@ def shard_links(classes: DataFrame, n: int, bits: int, tables: int, cosine: floa
             )))
     routed = classes.select("cid", "w", "code", "v", F.inline(F.filter(F.array(*targets), lambda t: t.isNotNull())))
 
-    sizes = routed.filter("probe = 0").groupBy("table", "part").agg(F.count(F.lit(1)).alias("size"))
-    hot = staged(sizes.filter(F.col("size") > HOT_PART).select("table", "part", F.ceil(F.col("size") / HOT_PART).cast("int").alias("blocks")), "hot-parts")
+    sizes = routed.groupBy("table", "part").agg(
+        F.count_if(F.col("probe") == 0).alias("members"), F.count_if(F.col("probe") != 0).alias("guests")
+    )
+    blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / HOT_PART)).cast("int")
+    hot = sizes.filter((F.col("members") > HOT_PART) | (F.col("guests") > HOT_PART))
+    hot = staged(hot.select("table", "part", blocks("members").alias("blocks"), blocks("guests").alias("guest_blocks")), "hot-parts")
     routed = checked_join(routed, hot, ["table", "part"], "left")
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    numbers = F.sequence(F.lit(0), F.col("blocks") - 1)
+    own = F.pmod(F.xxhash64("cid"), F.when(F.col("probe") == 0, F.col("blocks")).otherwise(F.col("guest_blocks"))).cast("int")
+    numbers = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     task = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
-    with_members = F.transform(numbers, lambda j: task(F.least(F.col("block"), j), F.greatest(F.col("block"), j)))
-    with_guests = F.transform(numbers, lambda j: task(-1 - j, F.col("block")))
-    as_guest = F.transform(numbers, lambda j: task(-1 - F.col("block"), j))
+    with_members = F.transform(numbers("blocks"), lambda j: task(F.least(F.col("block"), j), F.greatest(F.col("block"), j)))
+    with_guests = F.transform(numbers("guest_blocks"), lambda j: task(-1 - j, F.col("block")))
+    as_guest = F.transform(numbers("blocks"), lambda j: task(-1 - F.col("block"), j))
     tasks = F.when(F.col("blocks").isNull(), F.array(task(F.lit(0), F.lit(0)))).when(
         F.col("probe") == 0, F.concat(with_members, with_guests)
     ).otherwise(as_guest)
-    dealt = routed.withColumn("block", own).select("cid", "w", "code", "v", "table", "part", "probe", "block", F.inline(tasks))
-
-    def link(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("cid", kind="stable")  # the smallest place is the smallest id
-        ids = group["cid"].to_numpy()
-        first = group.iloc[0]
-        linked, groups = link_shard(
-            int(first["table"]), bits, low_bits, np.stack(group["code"].to_numpy()), np.stack(group["v"].to_numpy()),
-            group["w"].to_numpy(), group["probe"].to_numpy(), cosine,
-            group["block"].to_numpy() if 0 <= first["a"] < first["b"] else None, bool(first["a"] >= 0),
-            max_different,
-        )
-        found = np.flatnonzero(linked)
-        return pd.DataFrame({"cid": ids[found], "linked": linked[found], "label": ids[groups.roots(found)]})
-
-    return dealt.groupBy("table", "part", "a", "b").applyInPandas(link, "cid long, linked long, label long")
+    return routed.withColumn("block", own).select("cid", "w", "code", "v", "table", "part", "probe", "block", F.inline(tasks))
 
 
 def near_vectors(vectors: DataFrame, cosine: float = MIN_COSINE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

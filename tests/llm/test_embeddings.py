@@ -83,6 +83,27 @@ def test_a_large_group_of_near_copies_counts_every_link(spark, monkeypatch, limi
     assert {got[i]["component_id"] for i in range(1500)} == {0}
 
 
+def test_vectors_that_ask_a_small_neighbour_are_dealt_too(spark, monkeypatch):
+    """3,000 vectors of one part ask its neighbours, which have one member each: no task holds them all."""
+    monkeypatch.setattr(em, "HOT_PART", 200)
+    monkeypatch.setattr(em, "SHARD_VECTORS", 512)
+    rng = np.random.default_rng(3)
+    one = rng.standard_normal(12)
+    bits, rows = 16, []
+    for i in range(3000):
+        rows.append((i, 1, [0b1111 << 12 | i % 7], [float(x) for x in one + 0.001 * rng.standard_normal(12)]))
+    for k, lead in enumerate((0b0111, 0b1011, 0b1101, 0b1110)):
+        rows.append((5000 + k, 1, [lead << 12 | 1], [float(x) for x in one]))
+    classes = spark.createDataFrame(rows, "cid long, w long, code array<long>, v array<double>")
+    n = 512 * 16
+    sizes = em.deal_parts(classes, n, bits, 1).groupBy("table", "part", "a", "b").count().agg({"count": "max"}).first()[0]
+    assert sizes < 700
+    dealt = {r["cid"]: r["linked"] for r in em.shard_links(classes, n, bits, 1, 0.95, 1.0).groupBy("cid").sum("linked").withColumnRenamed("sum(linked)", "linked").collect()}
+    monkeypatch.setattr(em, "HOT_PART", 1 << 30)
+    whole = {r["cid"]: r["linked"] for r in em.shard_links(classes, n, bits, 1, 0.95, 1.0).groupBy("cid").sum("linked").withColumnRenamed("sum(linked)", "linked").collect()}
+    assert dealt == whole and len(dealt) == 3004
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from lettermill.functions.text import strip
 
 # Marks for what a later step needs; control characters never come from the page.
-LINK, LINK_TEXT, LINK_END, PRE, PRE_END, BREAK, ITEM, END = (chr(i) for i in (3, 4, 5, 6, 7, 14, 15, 16))
+LINK, LINK_TEXT, LINK_END, PRE, PRE_END, BREAK, ITEM, END, HEADING = (chr(i) for i in (3, 4, 5, 6, 7, 14, 15, 16, 17))
 QUOTE_MARK = chr(2)  # begins a quote; before a slash, ends it
 CONTROLS = r"[\x01-\x08\x0e-\x1f]"
 
@@ -37,7 +37,7 @@ REWRITES = [
     (r"(?i)</?(?:b|strong)(?:\s[^<>]*+)?>", "**"),
     (r"(?i)</?(?:i|em)(?:\s[^<>]*+)?>", "_"),
     (r"(?i)<(/?)blockquote\b[^<>]*+>", f"\n{QUOTE_MARK}$1\n"),
-    *[(rf"(?i)<h{n}\b[^<>]*+>", f"\n{'#' * n} ") for n in range(1, 7)],
+    (r"(?i)<h([1-6])\b[^<>]*+>", f"\n{HEADING}$1"),
     (r"(?i)<li\b[^<>]*+>", f"\n{ITEM}* "),
     (
         r"(?i)</?(?:p|div|br|h[1-6]|ul|ol|li|table|tr|td|th|section|article|header|footer"
@@ -114,7 +114,8 @@ def _collapsed(text: Column) -> Column:
 
 def _decoded(text: Column) -> Column:
     """Named and numbered entities as text; what is none stays."""
-    names = F.create_map(*[F.lit(x) for pair in entity_texts().items() for x in pair])
+    pairs = BREAK.join(f"{name}{END}{found}" for name, found in entity_texts().items())
+    names = F.str_to_map(F.lit(pairs), F.lit(BREAK), F.lit(END))  # one literal, folded to a map before the job
     number = lambda name: F.when(
         name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)
     ).when(name.startswith("#"), F.substr(name, F.lit(2))).cast("int")
@@ -143,6 +144,7 @@ def html_to_text(html: Column) -> Column:
     text = F.regexp_replace(html, CONTROLS, "")
     text = reduce(lambda c, r: _without(c, *r), REMOVED, text)
     text = reduce(lambda c, r: F.regexp_replace(c, r[0], r[1]), REWRITES, _collapsed(text))
+    text = reduce(lambda c, n: F.replace(c, F.lit(f"{HEADING}{n}"), F.lit("#" * n + " ")), range(1, 7), text)
     text = _decoded(text)
     text = F.regexp_replace(text, r"(?<![ \t])[ \t]++(?=\n)", "")
     text = F.regexp_replace(text, r"\n[ \t]++", "\n")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ PARAGRAPH = 120  # a line goes on as a new paragraph at the first sentence end b
 SPLIT = 8  # digests per part of a larger sketch, about
 MAX_SPLIT = 64  # parts per retry; parts that fail are split again
 BUCKET_DOCS = 1_024
+EDGES = 1_024  # ranges of a level, at most
+ACCURACY = 20_000  # a quantile of ids is off by one in so many rows, at most
 MASK = 0x7FFFFFFF
 
 
@@ -131,30 +135,71 @@ def differing(pairs: DataFrame) -> DataFrame:
     return results.groupBy("rid", "kind").agg(F.sum("left").alias("left"), F.sum("right").alias("right"))
 
 
+def _place(edges: Column, id_: Column, part: Column) -> tuple[Column, Column]:
+    """Number of the range between ``edges`` that holds a row, and where in that range its ``part`` (0 to 1) lies.
+
+    An id that is an edge several times holds as many ranges, which its rows share out by ``part``.
+    """
+    below = F.size(F.filter(edges, lambda e: e < id_))
+    share = part * F.greatest(F.size(F.filter(edges, lambda e: e == id_)), F.lit(1))
+    return (below + F.floor(share)).cast("long"), share - F.floor(share)
+
+
+def _edges(id_: str, parts: int, accuracy: int) -> Column:
+    points = [k / parts for k in range(1, parts)]
+    return F.percentile_approx(id_, points, accuracy) if points else F.array_compact(F.array(F.max(F.lit(None).cast("long"))))
+
+
+def with_ranges(docs: DataFrame) -> DataFrame:
+    """``docs`` and ``bucket``: ranges of about ``BUCKET_DOCS`` rows in the order of ids, hashes of texts within an id.
+
+    Edges are quantiles of the ids, then quantiles within every range so found,
+    ``EDGES`` at most of either, so outlying and clustered ids change nothing. Rows of a frequent id,
+    and those without one, are dealt by the hash of their text. Only equal rows cannot be dealt.
+    """
+    n = docs.agg(F.count("doc_id").alias("ids"), F.count_if(F.col("doc_id").isNull()).alias("none")).first()
+    parts = min(EDGES, math.ceil(math.sqrt(n["ids"] / BUCKET_DOCS))) or 1
+    without = min(EDGES * EDGES, math.ceil(n["none"] / BUCKET_DOCS))
+    first = docs.agg(_edges("doc_id", parts, ACCURACY)).first()[0] or []
+    first = F.array(*[F.lit(e).cast("long") for e in first]).cast("array<bigint>")
+    part = F.least(F.xxhash64("text").cast("double") / 2.0**64 + 0.5, F.lit(1 - 2.0**-50))
+    low, rest = _place(first, F.col("doc_id"), part)
+    placed = docs.withColumn("low", low).withColumn("rest", rest)
+    second = placed.filter("doc_id is not null").groupBy("low").agg(_edges("doc_id", parts, 4 * EDGES).alias("edges"))
+    fine, _ = _place(F.coalesce("edges", F.array().cast("array<bigint>")), F.col("doc_id"), F.col("rest"))
+    bucket = F.when(F.col("doc_id").isNull(), F.floor(part * without) - without).otherwise(F.col("low") * EDGES + fine)
+    joined = placed.join(F.broadcast(second), "low", "left")  # at most EDGES rows of as many numbers
+    return joined.select(*docs.columns, bucket.cast("long").alias("bucket"))
+
+
+def _following(buckets: DataFrame) -> DataFrame:
+    """``(target, source)``: for every bucket the next smaller one, the largest after the smallest.
+
+    Buckets are ordered in groups of neighbouring numbers; only one row per group is ordered as a whole.
+    """
+    groups = buckets.withColumn("g", F.expr(f"bucket div {EDGES}"))
+    down = Window.partitionBy("g").orderBy(F.col("bucket").desc())
+    inner = groups.select("g", F.col("bucket").alias("target"), F.lead("bucket").over(down).alias("source"))
+    tops = groups.groupBy("g").agg(F.max("bucket").alias("top"))
+    ring = Window.orderBy(F.col("g").desc())
+    after = tops.select("g", F.coalesce(F.lead("top").over(ring), F.first("top").over(ring)).alias("top"))
+    return inner.join(after, "g").select("target", F.coalesce("source", "top").alias("source"))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """``docs (doc_id, text, u)`` with ``next_text`` and ``next_u`` of the next smaller id; the first one after the last.
 
-    Rows are dealt by ranges of ids, of about ``BUCKET_DOCS`` rows, and every
-    range also gets the head of the next one. Only one row per range is ever
-    sorted as a whole, without its text.
+    Rows are dealt by ranges of equal size, and every range also gets the head of the next one.
     """
-    span = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).first()
-    low, width = 0, BUCKET_DOCS
-    if span["low"] is not None:
-        low, width = span["low"], max(1, (span["high"] - span["low"] + 1) * BUCKET_DOCS // span["n"])
-    bucket = F.coalesce(F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1))
-    dealt = docs.withColumn("bucket", bucket)
-    order = F.struct(F.col("doc_id").isNotNull(), F.col("doc_id"), F.coalesce(F.xxhash64("text"), F.lit(0)))
+    dealt = with_ranges(docs)
+    order = F.struct(F.col("doc_id").isNotNull(), F.col("doc_id"), F.xxhash64("text"))
     heads = dealt.groupBy("bucket").agg(F.max_by(F.struct("doc_id", "text", "u"), order).alias("head"))
     heads = staged(heads, "range-heads")
-    ring = Window.orderBy(F.col("bucket").desc())  # one row per range
-    first = F.first("bucket").over(ring)
-    chain = heads.select("bucket").select(F.col("bucket").alias("target"), F.coalesce(F.lead("bucket").over(ring), first).alias("source"))
-    guests = heads.join(chain, F.col("bucket") == F.col("source")).select(
+    guests = heads.join(_following(heads.select("bucket")), F.col("bucket") == F.col("source")).select(
         F.col("target").alias("bucket"), "head.*", F.lit(True).alias("guest")
     )
     all_rows = dealt.withColumn("guest", F.lit(False)).unionByName(guests)
-    down = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.coalesce(F.xxhash64("text"), F.lit(0)).desc())
+    down = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc())
     return (
         all_rows.withColumn("next_text", F.lead("text").over(down)).withColumn("next_u", F.lead("u").over(down))
         .filter("not guest").drop("guest", "bucket")

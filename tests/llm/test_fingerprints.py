@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -50,6 +51,24 @@ def test_equals_plain_version(spark, monkeypatch):
     assert got[9_000]["fingerprint"] == got[9_001]["fingerprint"]
 
 
+def test_ranges_stay_small_on_skewed_ids(spark, monkeypatch):
+    monkeypatch.setattr(fp, "BUCKET_DOCS", 20)
+    rng = random.Random(8)
+    ids = list(range(1_000)) + [2**62, -(2**62)] + [2**50 + 3 * k for k in range(500)] + [7] * 800 + [None] * 900
+    rows = [(i, f"text {k} {rng.random()}") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    dealt = fp.with_ranges(df).select("*", F.xxhash64("text").alias("h")).collect()
+    sizes = Counter(r["bucket"] for r in dealt)
+    assert sum(sizes.values()) == len(rows) and max(sizes.values()) <= 70
+    in_order = sorted(dealt, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["h"]))
+    buckets = [r["bucket"] for r in in_order]
+    assert buckets == sorted(buckets)
+    got = {(r["doc_id"], r["text"]): r["next_text"] for r in fp.with_next(df.withColumn("u", fp.paragraphs(F.col("text")))).collect()}
+    down = in_order[::-1]
+    for r, after in zip(down, down[1:] + down[:1]):
+        assert got[r["doc_id"], r["text"]] == after["text"]
+
+
 def test_peeling_recovers_the_differing_digests(spark):
     df = spark.range(1).select(F.array(*[F.lit(x).cast("long") for x in (1, 2, 3, 4, 5)]).alias("a"), F.array(*[F.lit(x).cast("long") for x in (4, 5, 6)]).alias("b"))
     r = df.select(fp.peel(fp.subtract(fp.sketch(F.col("a")), fp.sketch(F.col("b")))).alias("p")).first()["p"]

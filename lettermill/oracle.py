@@ -11,6 +11,7 @@ import re
 from lettermill import views
 from lettermill.functions import fixed_values as fv
 from lettermill.operators.significance import LEVEL, REPLICATES, STEPS
+from lettermill.operators.signoffs import LEAST, LINES, SHARE
 from lettermill.operators.sketches import QUANTILES
 from lettermill.queries import BUDGETS, FIRST_PER_SOURCE, LARGE_PER_SOURCE, WORDS_KEPT
 
@@ -556,6 +557,24 @@ ORACLE: dict[str, str] = {
     "drop_phone_lines": _rule(_without("ls", PHONE)),
     "normalize_whitespace": _query(f"select doc_id, {_normal('body')} as text from emails", "emails"),
     "clean_text": _query("select doc_id, clean as text from cleaned", "cleaned"),
+    "learned_sign_offs": _query(
+        f"""select doc_id, coalesce(n, 0) as sign_off_lines,
+          case when n is null then body else rtrim({_join('ls[:places[len(places) - n + 1] - 1]')}, {SPACE}) end as text
+        from ended left join longest using (doc_id)""",
+        *("emails", "lined", "ended", "backwards", "blocks", "counted", "endings", "longest"),
+        lined=f"select doc_id, source, body, {_lines('body')} as ls from emails",
+        ended=f"""select *, list_filter(range(1, len(ls) + 1), lambda i: {_strip('ls[i]')} <> '') as places from lined""",
+        backwards=f"""
+          select doc_id, source, list_transform(list_reverse(places)[:{LINES + 1}], lambda i: {_strip('ls[i]')}) as tail from ended""",
+        blocks="""
+          select doc_id, source, d, tail[:d] as block, tail[d + 1] as above
+          from (select *, unnest(range(1, len(tail))) as d from backwards)""",
+        counted="select source, d, block, count(distinct above) as below from blocks group by all",
+        endings="select source, sum(below) as endings from counted where d = 1 group by all",
+        longest=f"""
+          select doc_id, max(d) as n from blocks join counted using (source, d, block) join endings using (source)
+          where below >= {LEAST} and below >= {SHARE} * endings group by all""",
+    ),
     "reject_reasons": _query("select doc_id, cast(n_words as int) as n_words, status from judged", "judged"),
     "min_words": _query(
         f"select doc_id, cast(n_words as int) as n_words from judged where body <> '' and n_words >= {fv.MIN_WORDS}", "judged"

@@ -23,7 +23,7 @@ from lettermill.functions.fixed_values import (
 )
 from lettermill.functions.html import html_to_text
 from lettermill.functions.text import ellipsize, plain_words, word_count
-from lettermill.operators import bodies, chats, examples, filtering, grouped_split as grouping, language, reports, sequences, significance, sketches, splitting, style
+from lettermill.operators import bodies, chats, examples, filtering, grouped_split as grouping, language, reports, sequences, signoffs, significance, sketches, splitting, style
 from lettermill.plans.corpus import build_corpus
 from lettermill.plans.incremental import update_corpus
 from lettermill.session import scratch_path, staged
@@ -224,6 +224,12 @@ def _rule(rule: Callable[[Column], Column], view: str = "emails", column: str =
     return query
 
 
+def learned_sign_offs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every e-mail without the lines that its source puts below many of them."""
+    rows = emails(spark, sf_dir).select("doc_id", "source", F.col("body").alias("text"))
+    return signoffs.cut_sign_offs(rows, "source").drop("source")
+
+
 # --- filters and metrics ------------------------------------------------------------------
 
 
@@ -554,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "drop_phone_lines": _rule(cleaning.drop_phone_lines),
     "normalize_whitespace": _rule(cleaning.normalize_whitespace),
     "clean_text": _rule(cleaning.clean_text),
+    "learned_sign_offs": learned_sign_offs,
     "reject_reasons": reject_reasons,
     "min_words": min_words,
     "head_per_source": head_per_source,

@@ -13,7 +13,7 @@ from lettermill.functions import fixed_values as fv
 from lettermill.operators.significance import LEVEL, REPLICATES, STEPS
 from lettermill.operators.signoffs import LEAST, LINES, SHARE
 from lettermill.operators.sketches import QUANTILES
-from lettermill.queries import BUDGETS, FIRST_PER_SOURCE, LARGE_PER_SOURCE, WORDS_KEPT
+from lettermill.queries import BUDGETS, FIRST_PER_SOURCE, LARGE_PER_SOURCE, STREAM_PER_SOURCE, WORDS_KEPT
 
 
 def _text(value: str) -> str:
@@ -623,6 +623,15 @@ ORACLE: dict[str, str] = {
         select doc_id, {_cut_text('text', fv.PHRASE_DISPLAY_CHARS)} as phrase,
           {_cut_text('text', fv.SAMPLE_DISPLAY_CHARS)} as sample from documents""",
     "processing_stats": _query(_STATS, "judged"),
+    "stream_counters": _query(
+        f"""select source, count(*) as total, count(*) filter (where status = 'ok') as processed,
+          count(*) filter (where status = 'empty') as skipped_empty, count(*) filter (where status = 'short') as skipped_short,
+          cast(0 as bigint) as failed, cast(coalesce(sum(n_words) filter (where status = 'ok'), 0) as bigint) as total_words,
+          cast(0 as bigint) as late, max(doc_id) as upto
+        from (select * from judged qualify row_number() over (partition by source order by doc_id) <= {STREAM_PER_SOURCE})
+        group by source""",
+        "judged",
+    ),
     "language_distribution": _query(
         f"select *, {_SHARE.format('')} from (select language, count(*) as n from ok group by 1)", "ok", **OK_ROWS
     ),

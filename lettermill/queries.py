@@ -28,6 +28,7 @@ from lettermill.plans.corpus import build_corpus
 from lettermill.plans.incremental import update_corpus
 from lettermill.session import scratch_path, staged
 from lettermill.sources import jsonl, mailbox
+from lettermill.streaming import counters as stream
 from lettermill.views import emails, mail_records, parts, table, turns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,7 @@ BUDGETS = [
 FIRST_PER_SOURCE = 20
 LARGE_PER_SOURCE = 1_200
 WORDS_KEPT = 300
+STREAM_PER_SOURCE = 30
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,6 +341,18 @@ def processing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.processing_stats(_judged(spark, sf_dir))
 
 
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters over the first e-mails of every source, read as a stream that stops between the halves of its input."""
+    rows = emails(spark, sf_dir).select("source", F.col("doc_id").alias("place"), "body")
+    middle = rows.agg(F.percentile_approx("place", 0.5)).first()[0] or 0
+    arrived, counted, state = (scratch_path(spark, name) for name in ("arrived", "counted", "stream-state"))
+    for half in (rows.filter(F.col("place") < middle), rows.filter(F.col("place") >= middle)):
+        half.write.mode("append").parquet(arrived)
+        arriving = filtering.with_status(spark.readStream.schema(rows.schema).parquet(arrived))
+        stream.write_counters(stream.mailbox_counters(arriving, STREAM_PER_SOURCE), counted, state).awaitTermination()
+    return stream.latest_counters(spark, counted)
+
+
 def language_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.language_distribution(_accepted(spark, sf_dir))
 
@@ -576,6 +590,7 @@ QUERIES: dict[str, Query] = {
     "nested_assistant_texts": nested_assistant_texts,
     "ellipsize": cut_for_display,
     "processing_stats": processing_stats,
+    "stream_counters": stream_counters,
     "language_distribution": language_distribution,
     "split_stats": split_stats,
     "split_language_stats": split_language_stats,

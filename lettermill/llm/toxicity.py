@@ -16,9 +16,10 @@ from lettermill.session import staged
 ROWS_PER_CLASS = 4_000  # labelled documents of a class that are learned from, at most about so many
 CALIBRATION_PARTS = 4  # one part in so many of them fits the scale of the score
 DISCOUNT = 3.0  # an expression seen up to so often in a class says nothing by itself
-CONTEXT = 30  # a word before is looked at if it stands in so many documents of both classes
-CONTRAST = 8.0  # closer expressions are shared: both models give them the same probability
+BACKOFF = 100_000.0  # weight, in counts, of the model of single words behind every word before; a class gets it by its size
 NEUTRAL_WORDS = 30  # added to the length, so that one odd word does not decide over a short text
+TAIL_PART = 20  # the mean of one in so many ratios of a text, the highest ones, is looked at beside that of all
+NEUTRAL_TAIL = 3  # added to the length of that tail
 START = np.uint64(0)  # what stands before the first word
 
 
@@ -75,15 +76,15 @@ class ToxicityModel:
     pairs: np.ndarray
     pair_ratio: np.ndarray
     unknown_ratio: float
-    slope: float
+    slope: tuple[float, float, float]
     intercept: float
 
-    def mean_ratios(self, column: pa.Array) -> np.ndarray:
-        """Log-likelihood ratio per word of every text; 0 for texts without words."""
+    def ratios(self, column: pa.Array) -> np.ndarray:
+        """For every text: log-likelihood ratio per word, that of its most toxic words, and of the most toxic one; 0 without words."""
         n = len(column)
         rows, before, after = bigrams(column)
         if not len(rows) or not len(self.words):
-            return np.zeros(n)
+            return np.zeros((n, 3))
         at, known = _find(self.words, after)
         ratio = np.where(known, self.word_ratio[at], self.unknown_ratio)
         at, known = _find(self.words, before)
@@ -91,10 +92,16 @@ class ToxicityModel:
         if len(self.pairs):
             at, known = _find(self.pairs, pair_key(before, after))
             ratio = np.where(known, self.pair_ratio[at], ratio)
-        return np.bincount(rows, ratio, n) / (NEUTRAL_WORDS + np.bincount(rows, minlength=n))
+        length = np.bincount(rows, minlength=n)
+        highest = ratio[np.lexsort((-ratio, rows))]  # rows stay in their order
+        place = np.arange(len(rows)) - (np.cumsum(length) - length)[rows]
+        tail = -(-length // TAIL_PART)
+        upper = np.bincount(rows, np.where(place < tail[rows], highest, 0.0), n)
+        most = np.bincount(rows, np.where(place == 0, highest, 0.0), n)
+        return np.column_stack((np.bincount(rows, ratio, n) / (NEUTRAL_WORDS + length), upper / (NEUTRAL_TAIL + tail), most))
 
-    def scores(self, ratios: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * ratios + self.intercept, -500, 500)))
+    def scores(self, column: pa.Array) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.ratios(column) @ np.array(self.slope) + self.intercept, -500, 500)))
 
 
 def _find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +110,7 @@ def _find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> tuple[DataFrame, float]:
-    """Texts ``(t, toxic, fold)`` of about as many documents of either class, ``rows`` at most, and the share of toxic labels.
+    """Texts ``(t, toxic, fold)`` of about ``rows`` documents of either class at most, and the share of toxic labels.
 
     Chosen by a hash of the id. Copies and near copies, told by their smallest
     shingle hash, count once with the mark of most of them, else their own
@@ -114,7 +121,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLA
     n = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     place = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000))
     keep = F.lit(False)
-    rows = min(rows, *n.values()) if len(n) == 2 else 0
+    rows = rows if len(n) == 2 else 0
     for mark, count in n.items():
         keep = keep | ((F.col("toxic") == mark) & (place < -(-1_000_000 * rows // count)))
     chosen = marks.filter(keep).select(F.col("doc_id").alias("i"), "toxic")
@@ -151,17 +158,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> Toxic
 
     Bigram models of both classes with absolute discount; unigrams of the class
     below them; below these counts of rare expressions shared by both classes, so
-    that such an expression is as likely in either. So are expressions that one
-    class uses less than ``CONTRAST`` times as much as the other: mixes of
-    languages or topics differ between classes, too. The scale is fitted on a part of
-    the sample that the counts do not hold. Without labels of both classes every
+    that such an expression is as likely in either. No ratio is cut. A text is told by
+    the mean of its ratios, by the mean of the highest ones and by the highest, for most words of a
+    toxic text are ordinary. Their weights are fitted on a part of the sample that the
+    counts do not hold. Without labels of both classes every
     text gets the share of toxic labels as score (one half if there is none).
     """
     sample, share = labelled_sample(docs, labels, rows)
     none = np.zeros(0, np.uint64)
     if sample.isEmpty():
         share = np.clip(share, 1e-3, 1 - 1e-3)
-        return ToxicityModel(none, none, none, none, none, 0.0, 0.0, float(np.log(share / (1 - share))))
+        return ToxicityModel(none, none, none, none, none, 0.0, (0.0, 0.0, 0.0), float(np.log(share / (1 - share))))
     pairs = staged(_counts(sample.filter("fold > 0")), "pairs")
     model = _ratios(pairs)
     return _calibrated(model, sample.filter("fold = 0"), share)
@@ -173,78 +180,85 @@ def _ratios(pairs: DataFrame) -> ToxicityModel:
     cut = lambda n: F.greatest(n - DISCOUNT, F.lit(0.0))
     freed = lambda n: F.least(n, F.lit(DISCOUNT))
     words = staged(
-        pairs.groupBy(F.col("w").alias("h")).agg(*[F.sum(freed(F.col(c))).alias(c) for c in classes]), "words"
+        pairs.groupBy(F.col("w").alias("h")).agg(
+            *[F.sum(freed(F.col(c))).alias(c) for c in classes], *[F.sum(c).alias(f"n_{c}") for c in classes]
+        ), "words"
     )
     sums = words.agg(
-        *[F.sum(c).alias(c) for c in classes], *[F.sum(freed(F.col(c))).alias(f"freed_{c}") for c in classes]
+        *[F.sum(c).alias(c) for c in classes], *[F.sum(freed(F.col(c))).alias(f"freed_{c}") for c in classes],
+        *[F.sum(f"n_{c}").alias(f"n_{c}") for c in classes],
     ).first()
     if not sums["toxic"] or not sums["ordinary"]:
         none = np.zeros(0, np.uint64)
-        return ToxicityModel(none, none, none, none, none, 0.0, 0.0, 0.0)
+        return ToxicityModel(none, none, none, none, none, 0.0, (0.0, 0.0, 0.0), 0.0)
     backoff = {c: sums[f"freed_{c}"] / sums[c] for c in classes}
     rest = sums["freed_toxic"] + sums["freed_ordinary"] + 1  # one for words never seen
     shared = (freed(F.col("toxic")) + freed(F.col("ordinary"))) / rest
     one = words.select("h", *[(cut(F.col(c)) / sums[c] + backoff[c] * shared).alias(f"p_{c}") for c in classes])
+    weight = {c: BACKOFF * sums[f"n_{c}"] * 2 / (sums["n_toxic"] + sums["n_ordinary"]) for c in classes}
     contexts = pairs.groupBy("v").agg(
         *[F.sum(c).alias(f"n_{c}") for c in classes], *[F.sum(freed(F.col(c))).alias(f"f_{c}") for c in classes]
     ).select("v", *[f"n_{c}" for c in classes], *[
-        F.when(F.col(f"n_{c}") > 0, F.col(f"f_{c}") / F.col(f"n_{c}")).otherwise(F.lit(1.0)).alias(f"l_{c}") for c in classes
+        ((F.col(f"f_{c}") + weight[c]) / (F.col(f"n_{c}") + weight[c])).alias(f"l_{c}") for c in classes
     ])
     common = pairs.filter((F.col("toxic") > DISCOUNT) | (F.col("ordinary") > DISCOUNT))  # the others follow from words
-    contexts = contexts.filter((F.col("n_toxic") >= CONTEXT) & (F.col("n_ordinary") >= CONTEXT))
     two = common.join(one, F.col("w") == F.col("h")).join(contexts, "v")
-    p = {c: cut(F.col(c)) / F.greatest(F.col(f"n_{c}"), F.lit(1)) + F.col(f"l_{c}") * F.col(f"p_{c}") for c in classes}
+    p = {c: cut(F.col(c)) / (F.col(f"n_{c}") + weight[c]) + F.col(f"l_{c}") * F.col(f"p_{c}") for c in classes}
 
     def ratio(toxic: Column, ordinary: Column) -> Column:
-        log = F.log(toxic / ordinary)
-        return F.when(F.abs(log) > float(np.log(CONTRAST)), log).otherwise(F.lit(0.0)).cast("float")
+        return F.log(toxic / ordinary).cast("float")
 
-    # a pair refines what a distinctive word says; pairs of other words mostly tell copied passages apart
-    two = two.filter(ratio(F.col("p_toxic"), F.col("p_ordinary")) != 0)
     pair_rows = two.select("v", "w", ratio(p["toxic"], p["ordinary"]).alias("r")).toArrow()
-    word_rows = one.join(contexts, F.col("h") == F.col("v"), "left").select(
-        "h", ratio(F.col("p_toxic"), F.col("p_ordinary")).alias("r"),
-        ratio(F.col("l_toxic"), F.col("l_ordinary")).alias("c"),
+    word_rows = one.join(contexts, F.col("h") == F.col("v"), "full").select(  # the place before the first word is no word
+        F.coalesce("h", "v").alias("h"),
+        F.coalesce(ratio(F.col("p_toxic"), F.col("p_ordinary")), F.lit(0.0).cast("float")).alias("r"),
+        F.coalesce(ratio(F.col("l_toxic"), F.col("l_ordinary")), F.lit(0.0).cast("float")).alias("c"),
     ).toArrow()
     unsigned = lambda table, name: table.column(name).to_numpy().view(np.uint64)
     keys, h = pair_key(unsigned(pair_rows, "v"), unsigned(pair_rows, "w")), unsigned(word_rows, "h")
     by_key, by_hash = np.argsort(keys), np.argsort(h)
     return ToxicityModel(
         h[by_hash], word_rows.column("r").to_numpy()[by_hash], word_rows.column("c").to_numpy()[by_hash],
-        keys[by_key], pair_rows.column("r").to_numpy()[by_key], 0.0, 1.0, 0.0,
+        keys[by_key], pair_rows.column("r").to_numpy()[by_key], 0.0, (1.0, 0.0, 0.0), 0.0,
     )
 
 
 def _calibrated(model: ToxicityModel, sample: DataFrame, share: float) -> ToxicityModel:
-    """Slope and intercept by logistic regression, moved from the sample's share of toxic texts to the true one."""
-    rows = _with_ratio(sample.select("toxic", "t"), model, "toxic int").toArrow()
-    x, y = rows.column("ratio").to_numpy(), rows.column("toxic").to_numpy().astype(float)
-    scale = x.std() or 1.0
-    design = np.column_stack((x / scale, np.ones(len(x))))
-    beta = np.zeros(2)
-    penalty = np.diag([1e-2, 1e-6])
+    """Slopes and intercept by logistic regression, moved from the sample's share of toxic texts to the true one."""
+    rows = _with_ratios(sample.select("toxic", "t"), model, "toxic int").toArrow()
+    x = np.column_stack([rows.column(c).to_numpy() for c in ("mean", "upper", "most")]).astype(float)
+    y = rows.column("toxic").to_numpy().astype(float)
+    centre = x.mean(axis=0) if len(x) else np.zeros(3)
+    scale = x.std(axis=0) if len(x) else np.ones(3)
+    scale[scale == 0] = 1.0
+    design = np.column_stack(((x - centre) / scale, np.ones(len(x))))
+    beta = np.zeros(4)
+    penalty = np.diag([1e-2, 1e-2, 1e-2, 1e-6])
     for _ in range(50):
         p = 1 / (1 + np.exp(-design @ beta))
         hessian = (design * (p * (1 - p))[:, None]).T @ design + penalty
         step = np.linalg.solve(hessian, design.T @ (y - p) - penalty @ beta)
         beta += step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
     moved = 0.0
-    if 0 < y.mean() < 1:
+    if len(y) and 0 < y.mean() < 1:
         moved = np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
-    return ToxicityModel(**{**model.__dict__, "slope": float(beta[0] / scale), "intercept": float(beta[1] + moved)})
+    slope = beta[:3] / scale
+    intercept = beta[3] + moved - slope @ centre
+    return ToxicityModel(**{**model.__dict__, "slope": tuple(map(float, slope)), "intercept": float(intercept)})
 
 
-def _with_ratio(docs: DataFrame, model: ToxicityModel, kept: str) -> DataFrame:
-    """The first column of ``docs``, named and typed as ``kept``, and the ratio of its text ``t``."""
+def _with_ratios(docs: DataFrame, model: ToxicityModel, kept: str) -> DataFrame:
+    """The first column of ``docs``, named and typed as ``kept``, and the three ratios of its text ``t``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     name = kept.split()[0]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "t"):
-            ratios = shared.value.mean_ratios(batch.column("t"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ratios)], [name, "ratio"])
+            ratios = shared.value.ratios(batch.column("t"))
+            arrays = [batch.column(0), *[pa.array(np.ascontiguousarray(x)) for x in ratios.T]]
+            yield pa.RecordBatch.from_arrays(arrays, [name, "mean", "upper", "most"])
 
-    return docs.mapInArrow(score, f"{kept}, ratio double")
+    return docs.mapInArrow(score, f"{kept}, mean double, upper double, most double")
 
 
 def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
@@ -258,7 +272,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
-            scores = shared.value.scores(shared.value.mean_ratios(batch.column(text_col)))
+            scores = shared.value.scores(batch.column(text_col))
             arrays = [batch.column(c) for c in names] + [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(arrays, [*names, "score", "predicted"])
 

@@ -15,8 +15,8 @@ import pytest
 from lettermill.llm import toxicity as tx
 
 
-def plain_ratio(docs, text):
-    """docs: (toxic, text); the ratio of a text by the formulas, with dictionaries."""
+def plain_ratios(docs, text):
+    """docs: (toxic, text); the ratios of a text by the formulas, with dictionaries."""
     words = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", t.lower())
     pairs = [Counter(), Counter()]
     for toxic, t in docs:
@@ -37,21 +37,18 @@ def plain_ratio(docs, text):
         for (v, _), n in pairs[c].items():
             context[c][v] += n
             left[c][v] += min(n, d)
-    tie = lambda r: r if abs(r) > math.log(tx.CONTRAST) else 0.0
-    out, n_words = 0.0, 0
+    n_all = [sum(x.values()) for x in pairs]
+    heavy = [tx.BACKOFF * 2 * n / sum(n_all) for n in n_all]
+    out = []
     for v, w in zip([None, *words(text)], words(text)):
-        n_words += 1
+        weights = [(left[c][v] + heavy[c]) / (context[c][v] + heavy[c]) for c in (0, 1)]
         if w not in lower[0] and w not in lower[1]:
+            out.append(math.log(weights[1] / weights[0]))
             continue
-        one = tie(math.log(p1(1, w) / p1(0, w)))
-        good = all(context[c][v] >= tx.CONTEXT for c in (0, 1))
-        weights = [left[c][v] / context[c][v] if good else 1.0 for c in (0, 1)]
-        two = [max(pairs[c][v, w] - d, 0) / max(context[c][v], 1) + weights[c] * p1(c, w) for c in (0, 1)]
-        if good and one and max(pairs[c][v, w] for c in (0, 1)) > d:
-            out += tie(math.log(two[1] / two[0]))
-        else:
-            out += tie(math.log(weights[1] / weights[0])) + one
-    return out / (tx.NEUTRAL_WORDS + n_words)
+        two = [max(pairs[c][v, w] - d, 0) / (context[c][v] + heavy[c]) + weights[c] * p1(c, w) for c in (0, 1)]
+        out.append(math.log(two[1] / two[0]))
+    tail = math.ceil(len(out) / tx.TAIL_PART)
+    return sum(out) / (tx.NEUTRAL_WORDS + len(out)), sum(sorted(out)[len(out) - tail :]) / (tx.NEUTRAL_TAIL + tail), max(out, default=0.0)
 
 
 @pytest.fixture(scope="module")
@@ -71,10 +68,11 @@ def test_ratios_equal_plain_version(spark, rows):
     df = spark.createDataFrame([(t, x, 1) for _, t, x in rows], "t string, toxic int, fold long")
     model = tx._ratios(tx._counts(df))
     texts = [t for _, t, _ in rows[:40]] + ["", "  ", "unknown words only", "Nasty, VILE!", "w1"]
-    got = model.mean_ratios(pa.array(texts))
-    expected = [plain_ratio([(x, t) for _, t, x in rows], t) for t in texts]
+    got = model.ratios(pa.array(texts))
+    expected = [plain_ratios([(x, t) for _, t, x in rows], t) for t in texts]
     assert np.allclose(got, expected, atol=1e-5)
-    assert got[-2] > got[-1]
+    assert (got[-2] > got[-1]).all()
+    assert not got[-5].any() and not got[-4].any()
 
 
 def test_scores_separate_and_ignore_other_columns(spark, rows):
@@ -96,7 +94,7 @@ def test_held_out_accuracy(spark):
     got = [(r["toxic"], r["predicted"]) for r in tx.with_toxicity(held, model).collect()]
     clean, toxic = [p for x, p in got if not x], [p for x, p in got if x]
     assert sum(clean) <= 0.01 * len(clean)
-    assert sum(toxic) >= 0.5 * len(toxic)
+    assert sum(toxic) >= 0.8 * len(toxic)
 
 
 @pytest.mark.parametrize("labels,score", [([], 0.5), ([(1, 0), (2, 0)], 0.001), ([(1, 1)], 0.999)])

@@ -23,6 +23,7 @@ BLOCK_FINGERPRINTS = 16_384  # fingerprints of one top-level node of the index,
 MAX_PREFIX = 24
 LEVEL_BITS = 4
 QUERY_CHUNK = 8_192
+CANDIDATES = 1 << 18  # nodes that one step of a search looks at
 HASH_CHUNK = 65_536
 HALF = np.uint64(32)
 
@@ -85,20 +86,46 @@ class GrayIndex:
                 break
         self.levels.append((np.arange(len(f)), f, np.full(len(f), ~np.uint64(0))))
 
+        self.children = [
+            np.append(np.searchsorted(below[0], above[0]), len(below[0]))
+            for above, below in zip(self.levels, self.levels[1:])
+        ]
+
     def within(self, queries: np.ndarray, limit: int, upper_limit: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, member) numbers with at most ``limit`` differing bits, ``upper_limit`` of them in the upper half."""
-        who, node = np.arange(len(queries)), np.zeros(len(queries), np.int64)
-        for depth, (starts, pattern, shared) in enumerate(self.levels):
-            if depth:
-                above = self.levels[depth - 1][0]
-                bounds = np.append(np.searchsorted(starts, above), len(starts))
-                first, n = bounds[node], bounds[node + 1] - bounds[node]
-                who = np.repeat(who, n)
-                node = np.arange(len(who)) - np.repeat(np.cumsum(n) - n - first, n)
+        who, found = zip(*self.pieces_within(queries, limit, upper_limit))
+        return np.concatenate(who), np.concatenate(found)
+
+    def pieces_within(
+        self, queries: np.ndarray, limit: int, upper_limit: int
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``within``, piece by piece, one at least.
+
+        A step looks at ``CANDIDATES`` nodes at most, or at the children of one
+        node; the rest waits on its level. So memory does not follow the
+        number of pairs in a dense block.
+        """
+        yield np.zeros(0, np.int64), np.zeros(0, np.int64)
+        work = [(0, np.arange(len(queries)), np.zeros(len(queries), np.int64))]
+        while work:
+            depth, who, node = work.pop()
+            first, n = self.children[depth][node], self.children[depth][node + 1] - self.children[depth][node]
+            upto = np.cumsum(n)
+            if len(who) and upto[-1] > CANDIDATES:
+                cut = max(1, int(np.searchsorted(upto, CANDIDATES, "right")))
+                if cut < len(who):
+                    work.append((depth, who[cut:], node[cut:]))
+                who, first, n, upto = who[:cut], first[:cut], n[:cut], upto[:cut]
+            who = np.repeat(who, n)
+            node = np.arange(len(who)) - np.repeat(upto - n - first, n)
+            _, pattern, shared = self.levels[depth + 1]
             differ = (queries[who] ^ pattern[node]) & shared[node]
             keep = (np.bitwise_count(differ) <= limit) & (np.bitwise_count(differ >> HALF) <= upper_limit)
             who, node = who[keep], node[keep]
-        return who, self.order[node]
+            if depth + 2 == len(self.levels):
+                yield who, self.order[node]
+            elif len(who):
+                work.append((depth + 1, who, node))
 
 
 def link_block(ids: np.ndarray, fps: np.ndarray, is_member: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,8 +136,8 @@ def link_block(ids: np.ndarray, fps: np.ndarray, is_member: np.ndarray, limit: i
     if len(member):
         index = GrayIndex(fps[member])
         for at in range(0, len(fps), QUERY_CHUNK):
-            who, found = index.within(fps[at : at + QUERY_CHUNK], limit, limit // 2)
-            groups.unite(local[who + at], local[member[found]])
+            for who, found in index.pieces_within(fps[at : at + QUERY_CHUNK], limit, limit // 2):
+                groups.unite(local[who + at], local[member[found]])
     items, labels = groups.links()
     return known[items], known[labels]
 

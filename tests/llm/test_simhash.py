@@ -82,6 +82,24 @@ def test_index_prunes_and_finds(monkeypatch):
     assert {(int(a), int(b)) for a, b in zip(who, found)} >= {(i, i) for i in range(50)}
 
 
+def test_dense_block_is_searched_in_pieces(monkeypatch):
+    rng = np.random.default_rng(6)
+    flips = [np.uint64(1) << rng.integers(0, 64, 1500).astype(np.uint64) for _ in range(2)]
+    fps = np.unique(np.uint64(0x1234567890ABCDEF) ^ flips[0] ^ flips[1])  # all within four bits of each other
+    index = simhash.GrayIndex(fps)
+    expected = {
+        (i, int(j)) for i, q in enumerate(fps)
+        for j in np.flatnonzero((np.bitwise_count(q ^ fps) <= 3) & (np.bitwise_count((q ^ fps) >> simhash.HALF) <= 1))
+    }
+    for size in (1, 1000, 1 << 18):
+        monkeypatch.setattr(simhash, "CANDIDATES", size)
+        pieces = list(index.pieces_within(fps[:300] if size == 1 else fps, 3, 1))
+        got = [(int(a), int(b)) for who, found in pieces for a, b in zip(who, found)]
+        assert len(got) == len(set(got)) and set(got) == {p for p in expected if size > 1 or p[0] < 300}
+        assert max(len(who) for who, _ in pieces) <= max(size, 16)
+    assert len(index.within(fps[:0], 3, 1)[0]) == 0
+
+
 def test_empty_and_repeated_rows(spark):
     schema = "doc_id long, text string"
     assert simhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0

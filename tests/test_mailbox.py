@@ -3,8 +3,10 @@ from __future__ import annotations
 import mailbox
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lettermill.functions.mime import decode_utf8
 from lettermill.operators.bodies import header_projection, nested_body
@@ -205,3 +207,17 @@ def test_judging_is_one_projection(spark, tmp_path):
     empty = spark.createDataFrame([], source.MESSAGE_SCHEMA)
     plan = judge_messages(empty, model)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_a_batch_of_any_size_is_parsed_in_small_ones(spark):
+    schema = to_arrow_schema(spark.createDataFrame([], source.MESSAGE_SCHEMA).schema)
+    raw = [b"From " * (i == 0) + b"a@example.com\nSubject: %d\n\nbody %d" % (i, i) + b"x" * (i % 7 * 10_000) for i in range(1_000)]
+    n = len(raw)
+    columns = [["file:/a.mbox"] * n, ["file:/a.mbox"] * n, [0] * n, [True] * n, raw]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["source", "file", "block_start", "last_block", "raw"])
+    parsed = list(source._parser(schema, None)(iter([batch])))
+    assert max(b.num_rows for b in parsed) <= source.PARSED_RECORDS
+    assert max(b.nbytes for b in parsed) < 2 * source.PARSED_BYTES < batch.nbytes
+    rows = [row for b in parsed for row in b.to_pylist()]
+    assert [r["pos"] for r in rows] == list(range(n))
+    assert [len(r["parts"][0]["payload"].rstrip()) for r in rows] == [len(f"body {i}") + i % 7 * 10_000 for i in range(n)]

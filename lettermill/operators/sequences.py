@@ -9,6 +9,7 @@ every token of the corpus.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +24,7 @@ from lettermill.operators.chats import DEFAULT_TEMPLATE, ChatTemplate
 from lettermill.plans.levels import joined_in_levels
 
 VOCABULARY_SIZE = 32_000
+SLICE_TOKENS = 1 << 16  # tokens of a batch that a worker handles at a time, and one row
 END_ID = 0  # also the padding
 FIRST_BYTE_ID = 1
 FIRST_ID = FIRST_BYTE_ID + 256
@@ -56,6 +58,21 @@ def _dictionary(words: tuple[str, ...]) -> pa.Array:
     return pa.array(words, pa.string())
 
 
+def _in_slices(batch: pa.Array, use: Callable[[pa.Array], pa.Array], kind: pa.DataType) -> pa.Array:
+    """``use`` of all rows of a batch of lists, some at a time: what it needs per token exists for one slice only.
+
+    A slice ends with the row that takes it past ``SLICE_TOKENS``.
+    """
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    done, start = [], 0
+    while start < len(batch):
+        before = ends[start - 1] if start else 0
+        stop = min(int(np.searchsorted(ends, before + SLICE_TOKENS)) + 1, len(batch))
+        done.append(use(batch.slice(start, stop - start)))
+        start = stop
+    return pa.concat_arrays(done) if done else pa.array([], kind)
+
+
 def token_lookup(vocab: DataFrame):
     """UDF from token arrays to id arrays; the vocabulary travels with it.
 
@@ -63,9 +80,8 @@ def token_lookup(vocab: DataFrame):
     """
     words = tuple(r["token"] for r in vocab.orderBy("token_id").select("token").collect())  # at most `size`
 
-    @F.arrow_udf("array<int>")
-    def lookup(batch: pa.Array) -> pa.Array:
-        flat = batch.flatten()
+    def found(rows: pa.Array) -> pa.Array:
+        flat = rows.flatten()
         known = pc.index_in(flat, value_set=_dictionary(words))
         ids = pc.fill_null(pc.add(known, FIRST_ID), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         counts = np.ones(len(ids), np.int64)
@@ -74,10 +90,14 @@ def token_lookup(vocab: DataFrame):
         counts[missing] = [len(t) for t in spelled]
         ids = np.repeat(ids, counts)
         ids[ids == 0] = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64) + FIRST_BYTE_ID
-        lengths = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
         bounds = np.append(0, np.cumsum(counts))[np.append(0, np.cumsum(lengths))]
         return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
 
+    @F.arrow_udf("array<int>")
+    def lookup(batch: pa.Array) -> pa.Array:
+        return _in_slices(batch, found, pa.list_(pa.int32()))
+
     return lookup
 
 

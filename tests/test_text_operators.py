@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,3 +292,22 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = stream_examples(mail, model)
     written = spark.read.schema(batch.schema).json(str(tmp_path / "out"))
     assert sorted(map(str, written.collect())) == sorted(map(str, batch.collect()))
+
+
+def _peak_of(use, *args):
+    tracemalloc.start()
+    try:
+        return use(*args), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_token_lookup_needs_memory_for_a_slice_of_a_batch(texts):
+    lookup = sequences.token_lookup(sequences.build_vocab(texts(["a b a b a", "é"]), size=2)).func
+    rows = [["a", " b", " a", "é"] * 100, [], None, [" b"]] * 2_000
+    batch = pa.array(rows, pa.list_(pa.string()))
+    ids, peak = _peak_of(lookup, batch)
+    assert ids[:4].to_pylist() == lookup(pa.array(rows[:4], pa.list_(pa.string()))).to_pylist()
+    assert ids[4:].equals(ids[:-4]) and len(ids) == len(rows)
+    assert peak < 10e6  # numbers of all 802,000 tokens at once: over 40 MB
+    assert lookup(pa.array([], pa.list_(pa.string()))).equals(pa.array([], pa.list_(pa.int32())))

@@ -108,10 +108,12 @@ def token_decoder(vocab: DataFrame):
     @F.arrow_udf("string")
     def decode(batch: pa.Array) -> pa.Array:
         parts = [b"", *[bytes([b]) for b in range(256)], *[w.encode() for w in words]]
-        return pa.array(
-            [None if ids is None else b"".join([parts[i] for i in ids]).decode("utf-8", "replace") for ids in batch.to_pylist()],
-            pa.string(),
-        )
+
+        def joined(rows: pa.Array) -> pa.Array:
+            texts = [None if ids is None else b"".join([parts[i] for i in ids]).decode("utf-8", "replace") for ids in rows.to_pylist()]
+            return pa.array(texts, pa.string())
+
+        return _in_slices(batch, joined, pa.string())
 
     return decode
 

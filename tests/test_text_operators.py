@@ -311,3 +311,11 @@ def test_token_lookup_needs_memory_for_a_slice_of_a_batch(texts):
     assert ids[4:].equals(ids[:-4]) and len(ids) == len(rows)
     assert peak < 10e6  # numbers of all 802,000 tokens at once: over 40 MB
     assert lookup(pa.array([], pa.list_(pa.string()))).equals(pa.array([], pa.list_(pa.int32())))
+
+
+def test_token_decoder_needs_memory_for_a_slice_of_a_batch(texts):
+    vocab = sequences.build_vocab(texts(["a b a b a", "é"]), size=2)
+    ids = sequences.token_lookup(vocab).func(pa.array([["a", " b", " a", "é"] * 100, [], [" b"]] * 2_000, pa.list_(pa.string())))
+    decoded, peak = _peak_of(sequences.token_decoder(vocab).func, ids)
+    assert decoded.to_pylist() == ["a b aé" * 100, "", " b"] * 2_000
+    assert peak < 4e6  # all ids as Python lists: over 8 MB

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from lettermill.functions import html
 from lettermill.functions.html import html_to_text, wrap_lines
 from lettermill.operators import chats, examples, language, reports, sequences, style
 from lettermill.operators.language import LanguageModel
@@ -319,3 +320,11 @@ def test_token_decoder_needs_memory_for_a_slice_of_a_batch(texts):
     decoded, peak = _peak_of(sequences.token_decoder(vocab).func, ids)
     assert decoded.to_pylist() == ["a b aé" * 100, "", " b"] * 2_000
     assert peak < 4e6  # all ids as Python lists: over 8 MB
+
+
+def test_html_without_an_end_is_not_searched_again(spark):
+    page, end = F.col("page"), html.END
+    pages = spark.createDataFrame([("a <!-- b",), ("a <!-- b --> c <!-- d",), ("a --> b",), ("",), (None,)], "page string")
+    found = pages.select(html._without(page, "<!--", "-->", "-->").alias("t"))
+    assert [r["t"] for r in found.collect()] == ["a <!-- b", "a  c <!-- d", "a --> b", "", None]
+    assert "Contains(lambda" in plan_of(found) and end not in found.first()["t"]

@@ -19,7 +19,7 @@ from lettermill.operators.reports import COUNTERS, counters, stats_of_counters
 from lettermill.plans.corpus import JUDGED_COLUMNS, judge_messages, mailbox_key
 from lettermill.session import staged
 from lettermill.sources.jsonl import write_examples
-from lettermill.sources.mailbox import check_mailboxes, mailbox_files, read_messages
+from lettermill.sources.mailbox import check_mailboxes, mailbox_files, read_messages, small_batches
 
 _MANIFEST = "source string, mailbox string, digest string, " + ", ".join(f"{c} long" for c in COUNTERS)
 
@@ -93,7 +93,8 @@ def update_corpus(spark: SparkSession, mailboxes: str, output: str, model: Langu
 def _rebuilt(spark: SparkSession, changed: DataFrame, files: list[str], output: str, model: LanguageModel) -> DataFrame:
     """Replace the folders of the changed mailboxes; returns their rows of the list."""
     escaped = [re.sub(r"([\\*?\[\]{},])", r"\\\1", f) for f in files]
-    judged = staged(judge_messages(read_messages(spark, escaped), model).select(*JUDGED_COLUMNS), "judged")
+    with small_batches(spark):
+        judged = staged(judge_messages(read_messages(spark, escaped), model).select(*JUDGED_COLUMNS), "judged")
     named = judged.filter(F.col("status") == "ok").withColumn("mailbox", mailbox_key(F.col("source")))
     write_examples(build_examples(named, keep=("mailbox",)), output, by="mailbox", mode="dynamic")
     counted = judged.groupBy("source").agg(*counters())

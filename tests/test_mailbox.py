@@ -12,6 +12,7 @@ from lettermill.functions.mime import decode_utf8
 from lettermill.operators.bodies import header_projection, nested_body
 from lettermill.operators.language import LanguageModel
 from lettermill.plans.corpus import build_corpus, judge_messages
+from lettermill.plans.incremental import update_corpus
 from lettermill.sources import mailbox as source
 from lettermill.sources.jsonl import read_examples
 
@@ -221,3 +222,61 @@ def test_a_batch_of_any_size_is_parsed_in_small_ones(spark):
     rows = [row for b in parsed for row in b.to_pylist()]
     assert [r["pos"] for r in rows] == list(range(n))
     assert [len(r["parts"][0]["payload"].rstrip()) for r in rows] == [len(f"body {i}") + i % 7 * 10_000 for i in range(n)]
+
+
+LIMIT = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@pytest.fixture
+def batch_limit(spark):
+    before = spark.conf.get(LIMIT, None)
+    yield lambda value: spark.conf.set(LIMIT, value)
+    if before is None:
+        spark.conf.unset(LIMIT)
+    else:
+        spark.conf.set(LIMIT, before)
+
+
+@pytest.mark.parametrize("run", ["stage", "build", "limited build", "update"])
+def test_the_parser_gets_small_batches(spark, tmp_path, monkeypatch, run):
+    words = "one two three four five six seven eight nine ten"
+    n = 5 * source.RAW_RECORDS
+    write(tmp_path / "in" / "a.mbox", [single(i, words) for i in range(n)])
+    most, real = source.RAW_RECORDS, source._parser
+
+    def checked(schema, limit):
+        parse = real(schema, limit)
+
+        def sized(batches):
+            for batch in batches:
+                if batch.num_rows > most:
+                    raise ValueError(f"a batch of {batch.num_rows} records")
+                yield batch
+
+        return lambda batches: parse(sized(batches))
+
+    monkeypatch.setattr(source, "_parser", checked)
+    model = LanguageModel.fit(spark.createDataFrame([(words, "en")], "text string, lang string"))
+    boxes, out, before = str(tmp_path / "in"), str(tmp_path / "out"), spark.conf.get(LIMIT)
+    if run == "stage":
+        assert source.with_message_index(source.stage_messages(spark, boxes, out)).count() == n
+    elif run == "update":
+        assert update_corpus(spark, boxes, out, model).first()["processed"] == n
+    else:
+        assert build_corpus(spark, boxes, out, model, limit=n - 1 if "limited" in run else None).first()["processed"] == n - ("limited" in run)
+    assert spark.conf.get(LIMIT) == before and int(before) > most
+
+
+@pytest.mark.parametrize("value, inside", [(None, "64"), ("0", "64"), ("-1", "64"), ("7", "7"), ("5000", "64")])
+def test_the_batch_limit_is_put_back(spark, batch_limit, value, inside):
+    if value is None:
+        spark.conf.unset(LIMIT)
+    else:
+        batch_limit(value)
+    with pytest.raises(RuntimeError), source.small_batches(spark):
+        assert spark.conf.get(LIMIT) == inside
+        with source.small_batches(spark):
+            assert spark.conf.get(LIMIT) == inside
+        assert spark.conf.get(LIMIT) == inside
+        raise RuntimeError
+    assert spark.conf.get(LIMIT, None) == value and not source._held
